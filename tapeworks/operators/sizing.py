@@ -1,0 +1,21 @@
+"""Broadcast only what has been counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 1_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; stops counting behind that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if its row count allows, else as it is.
+
+    For tables of a few short columns.  Without the hint Spark shuffles both
+    sides and splits skewed partitions at run time.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -1,0 +1,85 @@
+"""Tables of append snapshots with as-of reads.
+
+Data lie under ``<table>/snapshot_id=…``; a snapshot exists once its row is in
+``_commits``, which is written last.  Readers see committed snapshots only, so a
+job that dies half-way leaves nothing visible.  One writer at a time.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tapeworks.functions.layout import partition_value
+from tapeworks.operators.sizing import broadcast_if_small
+from tapeworks.schema import SCHEMAS, TABLES
+from tapeworks.sinks.parquet import lay_out, parquet_writer
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("table", T.StringType()), T.StructField("snapshot_no", T.LongType()),
+    T.StructField("snapshot_id", T.StringType()), T.StructField("committed_at", T.DoubleType()),
+    T.StructField("rows", T.LongType()),
+])
+SNAPSHOT_PARTITIONS = ("p_exchange", "p_date", "p_instrument_type")
+
+
+class SnapshotTables:
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def commits(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
+        except Exception as failure:
+            if "PATH_NOT_FOUND" not in str(failure):
+                raise
+            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+
+    def append(self, batch: dict[str, DataFrame], committed_at: float) -> dict[str, int]:
+        """One commit per table touched; returns rows per table.
+
+        Rows are counted from the written files' footers, which stays right when
+        tasks had to be run again.
+        """
+        written: dict[str, int] = {}
+        done = {r["table"]: r["last"] for r in self.commits().groupBy("table").agg(
+            F.max("snapshot_no").alias("last")).collect()}
+        for table, df in batch.items():
+            snapshot_id = uuid.uuid4().hex
+            folder = f"{self.root}/{table}/snapshot_id={snapshot_id}"
+            laid = lay_out(df.select(*[f.name for f in SCHEMAS[table].fields]).withColumns({
+                "p_exchange": partition_value(F.col("exchange")),
+                "p_date": F.date_format("event_ts", "yyyy-MM-dd"),
+                "p_instrument_type": partition_value(F.col("instrument_type")),
+            }), SNAPSHOT_PARTITIONS)
+            parquet_writer(laid).partitionBy(*SNAPSHOT_PARTITIONS).parquet(folder)
+            rows = self.spark.read.schema(SCHEMAS[table]).parquet(folder).count()
+            if not rows:
+                continue
+            written[table] = rows
+            commit = [(table, (done.get(table) or 0) + 1, snapshot_id, float(committed_at), rows)]
+            (self.spark.createDataFrame(commit, COMMIT_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(f"{self.root}/_commits"))
+        return written
+
+    def stats(self) -> DataFrame:
+        """Snapshots per table, 0 for a table that was never written."""
+        names = self.spark.createDataFrame([(t,) for t in TABLES], "table string")
+        counts = self.commits().groupBy("table").agg(F.count("*").alias("snapshots"))
+        return names.join(counts, "table", "left").na.fill(0, ["snapshots"])
+
+    def read(self, table: str, *, snapshot_no: int | None = None,
+             as_of: float | None = None) -> DataFrame:
+        """Rows of all snapshots up to a number or a time (default: all)."""
+        wanted = self.commits().where(F.col("table") == table)
+        if snapshot_no is not None:
+            wanted = wanted.where(F.col("snapshot_no") <= snapshot_no)
+        if as_of is not None:
+            wanted = wanted.where(F.col("committed_at") <= as_of)
+        extra = [T.StructField(n, T.StringType()) for n in ("snapshot_id", *SNAPSHOT_PARTITIONS)]
+        schema = T.StructType(list(SCHEMAS[table].fields) + extra)
+        data = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        # Directory pruning by the committed ids happens at run time.
+        return data.join(broadcast_if_small(wanted.select("snapshot_id")), "snapshot_id",
+                         "left_semi")
