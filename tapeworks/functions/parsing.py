@@ -37,8 +37,11 @@ def parse_double(text: Column) -> Column:
 
     Spark's own cast also takes ``12d``, hence the pattern in front of it.
     """
-    plain = F.regexp_replace(F.btrim(text, F.lit(_BLANKS)), r"(?<=\d)_(?=\d)", "")
+    plain = F.btrim(text, F.lit(_BLANKS))
+    grouped = F.regexp_replace(plain, r"(?<=\d)_(?=\d)", "")
     return (F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
+            .when(F.contains(plain, F.lit("_")) & grouped.rlike(_NUMBER),
+                  grouped.try_cast("double"))
             .when(plain.rlike(_NAN), F.lit(float("nan")))
             .when(plain.rlike(_INFINITE), F.when(plain.startswith("-"), F.lit(float("-inf")))
                   .otherwise(F.lit(float("inf")))))

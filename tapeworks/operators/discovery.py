@@ -36,8 +36,10 @@ HOURLY_FILE = (r"(?i)rts13_public_trade_data_(" + "|".join(MARKETS)
 def page_links(pages: DataFrame, *, html: str = "html", base: str = "url") -> DataFrame:
     """Anchors with a non-empty href: page columns, ``pos``, ``label``, ``link``."""
     keep = [c for c in pages.columns if c != html]
-    found = pages.select(*keep, F.posexplode(L.anchors(F.col(html))).alias("pos", "anchor"))
-    return (found.withColumn("href", L.anchor_attribute(F.col("anchor"), "href"))
+    # Outer form: the plain one would search every page twice (see sources.rows).
+    found = pages.select(*keep, F.posexplode_outer(L.anchors(F.col(html))).alias("pos", "anchor"))
+    return (found.where(F.col("anchor").isNotNull())
+            .withColumn("href", L.anchor_attribute(F.col("anchor"), "href"))
             .where(F.col("href") != "")
             .withColumn("type_attr", L.anchor_attribute(F.col("anchor"), "type"))
             .withColumn("label", L.anchor_text(F.col("anchor")))
@@ -54,7 +56,7 @@ def match_rules(found: DataFrame, rules: tuple[LinkRule, ...] = LINK_RULES) -> D
     hits = F.array_compact(F.array(*[
         F.when(F.col("label" if r.target == "label" else "link").rlike(r.pattern),
                F.lit(r.feed)) for r in rules]))
-    return found.withColumn("feed", F.explode(hits))
+    return found.withColumn("feed", F.explode_outer(hits)).where(F.col("feed").isNotNull())
 
 
 def market_files(found: DataFrame, link: str = "link") -> DataFrame:

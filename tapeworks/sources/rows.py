@@ -12,6 +12,8 @@ per-payload grouping, and the position in ``rows`` is the sequence number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tapeworks.schema import SCHEMA_VERSION, SCHEMAS
@@ -29,15 +31,31 @@ def typed_select(df: DataFrame, table: str, values: dict[str, Column],
     return df.select(*columns, *extra)
 
 
+def in_steps(array: Column, *steps: Callable[[Column], Column]) -> Column:
+    """Apply ``steps`` to every element, one after the other.
+
+    Inside a lambda each use of an expression is a computation of its own, so
+    whatever is used more than once gets a step of its own.
+    """
+    for step in steps:
+        array = F.transform(array, step)
+    return array
+
+
 def stamp(ingest_ts: Column | None) -> Column:
     return F.current_timestamp() if ingest_ts is None else ingest_ts
 
 
 def explode_rows(parsed: DataFrame) -> DataFrame:
-    """One row per accepted record: payload columns, ``seq`` from 1, ``r``."""
+    """One row per accepted record: payload columns, ``seq`` from 1, ``r``.
+
+    A refused payload has no rows.  The outer form with a filter behind it gives
+    the same rows as the plain one, for which Spark would also test the array's
+    size below the projection, and so parse each payload twice.
+    """
     keep = [c for c in parsed.columns if c not in ("rows", "malformed", "error", "content")]
-    return (parsed.where(F.col("error").isNull())
-            .select(*keep, F.posexplode("rows").alias("pos", "r"))
+    return (parsed.select(*keep, F.posexplode_outer("rows").alias("pos", "r"))
+            .where(F.col("pos").isNotNull())
             .withColumn("seq", (F.col("pos") + 1).cast("long")).drop("pos"))
 
 
