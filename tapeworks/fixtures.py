@@ -282,7 +282,7 @@ hdat_rows as (
   select event_id, concat(event_id, '.json') as source_file, date_trunc('day', ts) as event_ts,
     concat('GR', lpad(cast(user_id as varchar), 10, '0')) as isin, value as open,
     value + k as high, cast(k as double) as low, value as close,
-    cast(event_id as double) as volume, case when k = 1 then 12 end::bigint as trades_count
+    cast(event_id as double) as volume, case when k = 1 then 12 end as trades_count
   from (select *, unnest([0, 1]) as k from events)
   where event_type <> 'signup')"""
 
@@ -300,7 +300,9 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return union.withColumn("sha256", F.sha2(F.concat_ws("/", "exchange", "label"), 256))
+    # Payloads differ in size by orders of magnitude: spread them by bytes.
+    return union.withColumn("sha256", F.sha2(F.concat_ws("/", "exchange", "label"), 256)).hint(
+        "rebalance")
 
 
 # --- pages and messages -----------------------------------------------------------

@@ -42,9 +42,10 @@ def status_events(outcomes: DataFrame, event_at: Column, event_no: Column | None
                   ) -> DataFrame:
     """Status changes from ``sha256, status, error``; errors are cut to 1024."""
     number = F.lit(0) if event_no is None else event_no
-    return _conform(outcomes.select("sha256", "status", error_text(F.col("error")).alias("error"))
-                    .withColumn("kind", F.lit("status")).withColumn("event_at", event_at)
-                    .withColumn("event_no", number), BRONZE_EVENT_SCHEMA)
+    return _conform(outcomes.select(
+        "sha256", "status", error_text(F.col("error")).alias("error"),
+        F.lit("status").alias("kind"), event_at.alias("event_at"), number.alias("event_no"),
+    ), BRONZE_EVENT_SCHEMA)
 
 
 # --- folds ------------------------------------------------------------------
