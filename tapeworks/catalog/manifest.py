@@ -31,16 +31,16 @@ def pending_feed(spark, sf_dir):
 _EVENTS = f"""
 with {BRONZE}, landed as (
   select 'landed' as kind, scraped_at as event_at, 0 as no, cast(event_id // 3 as varchar) as sha,
-    b.label, 'downloaded' as status, null as error
+    b.exchange, b.label, 'downloaded' as status, null as error
   from bronze_v b join (select event_id from events) e on b.sha256 = cast(e.event_id as varchar)),
 changes as (
-  select 'status' as kind, epoch(ts) // 1 + value - 40 as event_at, 1 as no,
+  select 'status' as kind, floor(epoch(ts)) + value - 40 as event_at, 1 as no,
     cast(event_id // 2 as varchar) as sha, null as label,
     case event_type when 'error' then 'failed' else 'ingested' end as status,
     case event_type when 'error' then repeat('e', 2000) end as error
   from events where event_type <> 'view'),
 first as (select * from landed
-  qualify row_number() over (partition by sha order by event_at, no, label) = 1),
+  qualify row_number() over (partition by sha order by event_at, no, exchange, label) = 1),
 valid as (select c.* from changes c join first f on c.sha = f.sha
   where (c.event_at, c.no) > (f.event_at, f.no)),
 last as (select * from valid

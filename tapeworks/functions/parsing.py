@@ -125,75 +125,59 @@ def timestamp_text(value: Column) -> Column:
 
 
 # --- JSON values held as VARIANT ------------------------------------------
+#
+# Most values need nothing but their text.  What kind of value it was matters in
+# a few cases only, and is looked up only where the text leaves a doubt.
 
 _FALSY_LOOK = r"^(?:|false|\[\]|\{\}|-?0(?:\.0*)?(?:[eE][+-]?\d+)?)$"
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def json_text(value: Column, key: str | None = None) -> Column:
+    """A JSON value as text; JSON null and a missing key give null."""
+    return F.try_variant_get(value, "$" if key is None else f"$.{key}", "string")
 
 
-def json_text(value: Column) -> Column:
-    """A JSON value as text; JSON null and a missing key give null."""
-    return F.try_variant_get(value, "$", "string")
+def json_kind(value: Column, key: str | None = None) -> Column:
+    if key is not None:
+        value = F.try_variant_get(value, f"$.{key}", "variant")
+    return F.schema_of_variant(value)
 
 
-def truthy(value: Column) -> Column:
+def truthy(text: Column, kind: Column) -> Column:
     """False for a missing key, null, '', 0, false, [] and {}; true otherwise.
 
-    The kind of a value is looked up only where its text leaves a doubt: the
-    string "0" counts, the number 0 does not.
+    The string "0" counts, the number 0 does not.
     """
-    text = json_text(value)
-    return F.when(text.isNull(), F.lit(False)).when(
-        text.rlike(_FALSY_LOOK), (text != "") & (_kind(value) == "STRING")).otherwise(F.lit(True))
+    doubtful = F.coalesce(F.substring(text, 1, 1).isin("", "f", "[", "{", "-", "0"), F.lit(True))
+    return F.when(~doubtful, F.lit(True)).when(text.isNull(), F.lit(False)).when(
+        text.rlike(_FALSY_LOOK), (text != "") & (kind == "STRING")).otherwise(F.lit(True))
 
 
-def first_truthy(*values: Column) -> Column:
-    """The first value that counts, else the last one as it is (as ``a or b``)."""
-    *head, last = values
-    chosen = None
-    for value in head:
-        test = truthy(value)
-        chosen = F.when(test, value) if chosen is None else chosen.when(test, value)
-    return last if chosen is None else chosen.otherwise(last)
+def number_text(text: Column, kind: Column) -> Column:
+    """JSON true and false as the numbers 1 and 0; other values as they are."""
+    return F.when(text.isin("true", "false") & (kind == "BOOLEAN"),
+                  F.when(text == "true", F.lit("1")).otherwise(F.lit("0"))).otherwise(text)
 
 
-def json_double(value: Column) -> Column:
-    """A JSON number, boolean or numeric string as double."""
-    text = json_text(value)
-    return F.when(text.isin("true", "false") & (_kind(value) == "BOOLEAN"),
-                  F.when(text == "true", F.lit(1.0)).otherwise(F.lit(0.0))
-                  ).otherwise(parse_double(text))
-
-
-def json_printed(value: Column) -> Column:
+def json_printed(text: Column, kind: Column) -> Column:
     """The text a hash recipe prints for a JSON value.
 
     Whole numbers keep their digits, other numbers print as doubles.  A literal
     such as ``100.0`` is a decimal of scale 0 that would fit a long.
     """
-    kind = _kind(value)
-    text = json_text(value)
-    number = F.try_variant_get(value, "$", "double")
+    number = text.try_cast("double")
     whole = (kind == "BIGINT") | (kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) >= 9.2e18))
-    return (F.when(kind.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
+    return (F.when(text.isNull(), text)
             .when((kind == "STRING") | whole, text)
             .when(kind == "BOOLEAN", F.initcap(text))
             .when(kind.rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), double_text(number))
             .otherwise(text))
 
 
-def json_count(value: Column) -> Column:
-    """Trade count as long: null for a value that does not count or is no count."""
-    text = json_text(value)
-    kind = _kind(value)
-    return (F.when(~truthy(value), F.lit(None).cast("long"))
-            .when(kind == "STRING", parse_integer(text))
-            .when(kind == "BOOLEAN", F.lit(1).cast("long"))
-            .otherwise(F.try_variant_get(value, "$", "double").try_cast("long")))
-
-
-def bad_count(value: Column) -> Column:
-    """True where a trade count is given but is not an integer."""
-    return truthy(value) & json_count(value).isNull()
+def count_text(text: Column, kind: Column) -> Column:
+    """Trade count as the text of an integer; null for a value that does not count,
+    ``?`` for one that is no integer."""
+    whole = F.when(kind == "STRING", parse_integer(text)).when(
+        kind == "BOOLEAN", F.lit(1).cast("long")).otherwise(
+        text.try_cast("double").try_cast("long"))
+    return F.when(truthy(text, kind), F.coalesce(whole.cast("string"), F.lit("?")))

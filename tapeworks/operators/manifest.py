@@ -59,13 +59,16 @@ def fold_bronze(events: DataFrame) -> DataFrame:
     * a status change for a digest that has not landed is void.
     """
     order = F.struct("event_at", "event_no")
+    # Events with equal order are told apart by their content, the same way each time.
+    landing_order = F.struct("event_at", "event_no", "exchange", "label")
+    status_order = F.struct("event_at", "event_no", "status")
     landed = F.struct(*[f.name for f in BRONZE_SCHEMA.fields if f.name != "sha256"])
     is_landing, is_status = F.col("kind") == "landed", F.col("kind") == "status"
     state = (events.groupBy("sha256").agg(
-        F.min_by(F.when(is_landing, landed), F.when(is_landing, order)).alias("first"),
+        F.min_by(F.when(is_landing, landed), F.when(is_landing, landing_order)).alias("first"),
         F.min(F.when(is_landing, order)).alias("landed_at"),
         F.max_by(F.when(is_status, F.struct("status", "error")),
-                 F.when(is_status, order)).alias("last"),
+                 F.when(is_status, status_order)).alias("last"),
         F.max(F.when(is_status, order)).alias("changed_at"),
         F.max(F.when(is_status & (F.col("status") == "ingested"), order)).alias("ingested_at"),
     ).where(F.col("first").isNotNull()))
