@@ -16,6 +16,7 @@ from tapeworks.functions.hashing import trade_hash
 from tapeworks.functions.parsing import notional
 from tapeworks.sources.reference_data import clean_master
 from tapeworks.sources.rows import schema_version, typed_select
+from tapeworks.sources.tables import read_spread
 from tapeworks.schema import SCHEMAS
 
 SPARK = {"epoch": "unix_seconds(cast({} as timestamp))"}
@@ -30,7 +31,7 @@ FEEDS = ("berlin/pretrade", "berlin/posttrade", "berlin/other", "athex/AXE", "cb
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _stamp(dialect: dict, seconds: str) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tapeworks.functions.parsing import let
+
 # Venue flag code -> canonical flag.
 FLAG_CODES = {
     "LRGS": "large_in_scale",
@@ -34,15 +36,17 @@ def canonical_trade_flag(raw: Column) -> Column:
     """Collapse a multi-flag field to its strongest canonical flag.
 
     The field is brought to the form ``,A,B,`` once; each known code is then a
-    plain ``contains`` test.  All tests sit side by side under ``least`` (no
-    branch is conditional), so Spark computes the common text once per row and
-    the whole expression stays inside generated code.
+    plain ``contains`` test, and the lowest rank wins.
     """
+    names = ("normal",) + FLAG_PRIORITY
+
+    def strongest(padded: Column) -> Column:
+        ranks = [F.when(padded == ",,", F.lit(1))]
+        for code, flag in FLAG_CODES.items():
+            ranks.append(F.when(F.contains(padded, F.lit(f",{code},")),
+                                F.lit(names.index(flag) + 1)))
+        return F.coalesce(F.elt(F.least(*ranks), *[F.lit(n) for n in names]), F.lit("unknown"))
+
     joined = F.regexp_replace(F.upper(F.coalesce(raw, F.lit(""))), r"[\s;,]*[;,][\s;,]*", ",")
     text = F.btrim(joined, F.lit(", \t\r\n\f\x0b"))
-    padded = F.concat(F.lit(","), text, F.lit(","))
-    names = ("normal",) + FLAG_PRIORITY
-    ranks = [F.when(text == "", F.lit(1))]
-    for code, flag in FLAG_CODES.items():
-        ranks.append(F.when(F.contains(padded, F.lit(f",{code},")), F.lit(names.index(flag) + 1)))
-    return F.coalesce(F.elt(F.least(*ranks), *[F.lit(n) for n in names]), F.lit("unknown"))
+    return let(F.concat(F.lit(","), text, F.lit(",")), strongest)

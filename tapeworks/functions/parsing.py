@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _BLANKS = " \t\r\n\f\x0b"
@@ -20,6 +22,15 @@ _ANY_TIME = (r"^(?!0000)(\d{4})(-?)(\d{2})\2(\d{2})"
              r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?" + _ZONE + r"?)?$")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Spark repeats an expression wherever a filter or a branch refers to it; the
+    element of a one-element array is a variable.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def decode_utf8(content: Column) -> Column:
     """Bytes to text; bytes that are not UTF-8 are dropped."""
     text = content.cast("string")

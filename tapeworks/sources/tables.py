@@ -1,0 +1,17 @@
+"""Generic table scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, spread over the cores when it lies in very few files.
+
+    A row group is read by one task, so a table of one file leaves the other
+    cores idle through every row-wise step behind the scan.  A table of many
+    files is read as it is, without a shuffle.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
