@@ -176,19 +176,25 @@ def json_printed(text: Column, kind: Column) -> Column:
     Whole numbers keep their digits, other numbers print as doubles.  A literal
     such as ``100.0`` is a decimal of scale 0 that would fit a long.
     """
-    number = text.try_cast("double")
-    whole = (kind == "BIGINT") | (kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) >= 9.2e18))
-    return (F.when(text.isNull(), text)
-            .when((kind == "STRING") | whole, text)
-            .when(kind == "BOOLEAN", F.initcap(text))
-            .when(kind.rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), double_text(number))
-            .otherwise(text))
+    def printed(kind: Column) -> Column:
+        number = text.try_cast("double")
+        whole = (kind == "BIGINT") | (kind.rlike(r"^DECIMAL\(\d+,0\)$")
+                                      & (F.abs(number) >= 9.2e18))
+        return (F.when((kind == "STRING") | whole, text)
+                .when(kind == "BOOLEAN", F.initcap(text))
+                .when(kind.rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), let(number, double_text))
+                .otherwise(text))
+
+    return F.when(text.isNotNull(), let(kind, printed))
 
 
 def count_text(text: Column, kind: Column) -> Column:
     """Trade count as the text of an integer; null for a value that does not count,
     ``?`` for one that is no integer."""
-    whole = F.when(kind == "STRING", parse_integer(text)).when(
-        kind == "BOOLEAN", F.lit(1).cast("long")).otherwise(
-        text.try_cast("double").try_cast("long"))
-    return F.when(truthy(text, kind), F.coalesce(whole.cast("string"), F.lit("?")))
+    def whole(kind: Column) -> Column:
+        number = F.when(kind == "STRING", parse_integer(text)).when(
+            kind == "BOOLEAN", F.lit(1).cast("long")).otherwise(
+            text.try_cast("double").try_cast("long"))
+        return F.coalesce(number.cast("string"), F.lit("?"))
+
+    return F.when(truthy(text, kind), let(kind, whole))

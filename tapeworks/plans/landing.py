@@ -74,4 +74,4 @@ def select_new(spark: SparkSession, candidates: DataFrame, bronze: DataFrame, *,
     result = landed[0]
     for part in landed[1:]:
         result = result.unionByName(part)
-    return result.select(*[f.name for f in BRONZE_SCHEMA.fields])
+    return result.drop("place").select(*candidates.columns)

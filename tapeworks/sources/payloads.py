@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tapeworks.operators.sizing import is_small
+
 # Schemes of manifest rows that never had a payload.
 VIRTUAL_SCHEMES = ("label-only://", "legacy://")
 
@@ -12,8 +14,14 @@ def is_virtual(uri: Column) -> Column:
     return uri.startswith(VIRTUAL_SCHEMES[0]) | uri.startswith(VIRTUAL_SCHEMES[1])
 
 
-def scan_payload_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``source_uri, content`` for every file below ``path`` on any file system."""
+def scan_payload_files(spark: SparkSession, path: str | list[str], glob: str | None = None,
+                       ) -> DataFrame:
+    """``source_uri, content`` for every file below ``path`` on any file system.
+
+    Name the folders of the pending files rather than the whole landing zone: the
+    content of every file below is read.  For files as they arrive, see
+    ``streaming.passes.stream_payload_files``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -29,7 +37,9 @@ def attach_content(files: DataFrame, payloads: DataFrame) -> DataFrame:
     """Add ``content`` to manifest rows.
 
     ``payloads`` holds the bytes under ``source_uri`` (or ``sha256``).  Virtual
-    rows get empty content; a row whose payload is missing gets null.
+    rows get empty content; a row whose payload is missing gets null.  A pass
+    takes few files out of many: as long as their keys fit a broadcast, the
+    payload table is filtered where it is read and only hits are shuffled.
     """
     key = "sha256" if "sha256" in payloads.columns else "source_uri"
     if key == "source_uri":
@@ -38,6 +48,9 @@ def attach_content(files: DataFrame, payloads: DataFrame) -> DataFrame:
     else:
         side = payloads.select(F.col("sha256").alias("_key"), "content")
         joined = files.withColumn("_key", F.col("sha256"))
+    keys = joined.where(~is_virtual(F.col("source_uri"))).select("_key")
+    if is_small(keys):
+        side = side.join(F.broadcast(keys), "_key", "left_semi")
     return (joined.join(side, "_key", "left").drop("_key")
             .withColumn("content", F.when(is_virtual(F.col("source_uri")), F.lit(b""))
                         .otherwise(F.col("content").cast("binary"))))
