@@ -20,11 +20,21 @@ PREVIEW_COLUMNS = (
 )
 
 
+def path_value(value: Column) -> Column:
+    """Cleaned text for a path column, never a constant to the optimizer.
+
+    A feed's rows often carry a constant exchange.  Spark drops constants from a
+    sort, no longer sees the order its writer wants, and replaces the sort by one
+    on the path columns alone; an empty piece of the time keeps the column in.
+    """
+    return F.concat(partition_value(value), F.left(F.date_format("event_ts", "yyyy"), F.lit(0)))
+
+
 def with_partition_columns(df: DataFrame) -> DataFrame:
     year, month, day = date_parts(F.col("event_ts"))
     return df.withColumns(dict(zip(PARTITION_COLUMNS, (
-        partition_value(F.col("exchange")), year, month, day,
-        partition_value(F.col("instrument_type"))))))
+        path_value(F.col("exchange")), year, month, day,
+        path_value(F.col("instrument_type"))))))
 
 
 def _sort_keys(df: DataFrame) -> list[Column]:

@@ -11,10 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tapeworks.functions.layout import partition_value
 from tapeworks.operators.sizing import broadcast_if_small
 from tapeworks.schema import SCHEMAS, TABLES
-from tapeworks.sinks.parquet import lay_out, parquet_writer
+from tapeworks.sinks.parquet import lay_out, parquet_writer, path_value
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()), T.StructField("snapshot_no", T.LongType()),
@@ -49,9 +48,9 @@ class SnapshotTables:
             snapshot_id = uuid.uuid4().hex
             folder = f"{self.root}/{table}/snapshot_id={snapshot_id}"
             laid = lay_out(df.select(*[f.name for f in SCHEMAS[table].fields]).withColumns({
-                "p_exchange": partition_value(F.col("exchange")),
+                "p_exchange": path_value(F.col("exchange")),
                 "p_date": F.date_format("event_ts", "yyyy-MM-dd"),
-                "p_instrument_type": partition_value(F.col("instrument_type")),
+                "p_instrument_type": path_value(F.col("instrument_type")),
             }), SNAPSHOT_PARTITIONS)
             parquet_writer(laid).partitionBy(*SNAPSHOT_PARTITIONS).parquet(folder)
             rows = self.spark.read.schema(SCHEMAS[table]).parquet(folder).count()

@@ -9,6 +9,7 @@ from tapeworks.operators.manifest import ManifestTables
 from tapeworks.plans import ingest as I, landing as L
 from tapeworks.sinks import maintenance, parquet as P
 from tapeworks.sinks.snapshots import SnapshotTables
+from tapeworks.sources.rows import typed_select
 from tapeworks.sources.silver import read_live, read_nanosecond_parquet, read_silver
 from tests.test_operators import bronze, trades
 
@@ -90,11 +91,11 @@ def test_landing_equals_one_by_one(spark, batch):
 
 
 def test_files_are_sorted_in_limited_row_groups(spark, tmp_path):
-    rows = spark.range(1000).select(
-        (F.col("id") * 37 % 1000).alias("seq"),
-        F.timestamp_seconds(F.lit(1754006400) + F.col("id") * 37 % 1000).alias("event_ts"))
-    base = trades(spark, {"isin": "A"}, exchange="X Y/Z", instrument_type=None).drop("seq", "event_ts")
-    df = base.crossJoin(rows)        # fixture only: one row on the left
+    place = F.col("id") * 37 % 1000
+    df = typed_select(spark.range(1000), "trades", {
+        "seq": place, "event_ts": F.timestamp_seconds(F.lit(1754006400) + place),
+        "ingest_ts": F.timestamp_seconds(F.lit(1)), "exchange": F.lit("X Y/Z"),
+        "isin": F.lit("A"), "data_type": F.lit("post_trade"), "schema_version": F.lit("2.0.0")})
     P.write_silver(df, str(tmp_path), "trades", compression="zstd", row_group_rows=300)
     files = list(tmp_path.glob("trades/*/*/*/*/*/*.parquet"))
     seqs = []
