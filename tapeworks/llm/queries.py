@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, exact_dedup, quality, url_filters
+from tapeworks.llm import bpe, exact_dedup, quality, substring_dedup, url_filters
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rows join groups using (body)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group(table(spark, sf_dir, "documents"))
+
+
+@query("op3_sketched_substrings")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
