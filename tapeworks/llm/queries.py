@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, exact_dedup, quality, substring_dedup, url_filters
+from tapeworks.llm import bpe, exact_dedup, quality, substring_dedup, suffix_dedup, url_filters
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sketched_substrings")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.later_bytes(table(spark, sf_dir, "documents"))
