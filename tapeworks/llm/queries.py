@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, exact_dedup, quality, substring_dedup, suffix_dedup, url_filters
+from tapeworks.llm import (bpe, exact_dedup, lm_mixing, quality, substring_dedup, suffix_dedup,
+                           url_filters)
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.later_bytes(table(spark, sf_dir, "documents"))
+
+
+def checksum(doc_id: str = "doc_id") -> Column:
+    """crc32 of doc_id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+
+
+@query("op1_context_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mixing.scored(table(spark, sf_dir, "documents"), checksum() % 7 != 2)
