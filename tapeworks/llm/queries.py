@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import (bpe, exact_dedup, lm_mixing, quality, substring_dedup, suffix_dedup,
+from tapeworks.llm import (bpe, exact_dedup, lm_mixing, quality, substring_dedup, suffix_dedup, toxicity,
                            url_filters)
 from tapeworks.session import configure
 
@@ -109,3 +109,9 @@ def checksum(doc_id: str = "doc_id") -> Column:
 @query("op1_context_mixing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_mixing.scored(table(spark, sf_dir, "documents"), checksum() % 7 != 2)
+
+
+@query("op5_lexicon_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                           checksum() % 4 != 2)
