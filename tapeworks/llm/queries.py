@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import (bpe, exact_dedup, lm_mixing, quality, substring_dedup, suffix_dedup, toxicity,
+from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, quality, substring_dedup, suffix_dedup, toxicity,
                            url_filters)
 from tapeworks.session import configure
 
@@ -115,3 +115,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                            checksum() % 4 != 2)
+
+
+@query("op9_lsh_forest")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_dedup.clusters(table(spark, sf_dir, "documents"))

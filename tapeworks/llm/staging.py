@@ -88,3 +88,55 @@ def shards_for(keys: int, per_shard: int, spark: SparkSession) -> int:
 
 def blob(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
+
+
+def join_by_hot_key(rows: DataFrame, table: DataFrame, key: str, size: str, total: int,
+                    share: int = 1000) -> DataFrame:
+    """Inner join of rows with one row per key; ``size`` says how many rows a key has.
+
+    Keys with a ``share``-th of all rows or more, of which there are at most
+    ``share``, are broadcast; the join that shuffles never sees them.
+    """
+    large = F.col(size) * share >= F.lit(total)
+    hot = F.broadcast(table.where(large))
+    return rows.join(hot, key).unionByName(
+        rows.join(hot.select(key), key, "left_anti").join(table.where(~large), key))
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """``(node, component)`` for every node of ``edges (a, b)``: the least node reachable.
+
+    Alternates two star rewirings until nothing changes; each round is a few
+    joins and aggregations, staged in the shared folder.
+    """
+    spark = edges.sparkSession
+
+    def state(df: DataFrame):
+        row = df.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
+        return row[0], row[1]
+
+    def star(pairs: DataFrame, upward: bool) -> DataFrame:
+        """Point every node's neighbours (the larger or the smaller ones) at the least of them all."""
+        turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        near = pairs.unionByName(turned) if upward else pairs.select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        least = near.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
+        moved = near.join(least, "a").where(F.col("b") > F.col("a") if upward else F.lit(True)).select(
+            F.col("b").alias("a"), F.col("root").alias("b"))
+        if not upward:
+            moved = moved.unionByName(least.select("a", F.col("root").alias("b")))
+        return moved.where("a <> b").distinct()
+
+    pairs = staged(edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    before = state(pairs)
+    while before[0]:
+        pairs = staged(star(star(pairs, True), False), name)
+        after = state(pairs)
+        if after == before:
+            break
+        before = after
+    roots = pairs.select(F.col("b").alias("node")).distinct()
+    return spark.createDataFrame([], "node long, component long").unionByName(
+        pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))).unionByName(
+        roots.select("node", F.col("node").alias("component")))
