@@ -66,3 +66,12 @@ def group(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     return joined.select("doc_id", "keep_id", "group_size",
                          F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                          F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def kept_documents(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One document of each text, with all its columns."""
+    best = staged(winners(docs, salts), "winners").select(
+        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
+    # The pair of digest and id is no hot key, however many copies a text has.
+    return docs.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (
+        F.unhex(F.sha2(normal(F.col("text")), 256)) == F.col("_digest")), "left_semi")

@@ -345,3 +345,15 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return rows.select("doc_id", "n_shingles", "component_id").unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """One document of each component, with all its columns.
+
+    Rows that repeat a doc_id stay or go together.
+    """
+    found = staged(clusters(docs), "kept")
+    stays = found.where("kept").select("doc_id")
+    goes = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    goes = goes.join(stays, F.col("_gone") == F.col("doc_id"), "left_anti")
+    return docs.join(goes, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

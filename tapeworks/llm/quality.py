@@ -141,3 +141,15 @@ def score(docs: DataFrame, limits: Limits = Limits(), *, with_text: bool = False
 
     schema = "doc_id long, " + ("text string, " if with_text else "") + COLUMNS
     return identified(docs).mapInArrow(judge, schema)
+
+
+def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    text = docs.columns.index("text")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, SLICE_BYTES):
+                yield part.filter(pa.array(measure(part.column(text), limits)["kept"]))
+
+    return docs.mapInArrow(sift, docs.schema)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, quality, substring_dedup, suffix_dedup, toxicity,
-                           url_filters)
+from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, packing, quality,
+                           substring_dedup, suffix_dedup, toxicity, url_filters)
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lsh_forest")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_dedup.clusters(table(spark, sf_dir, "documents"))
+
+
+@query("op7_retrieval_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))

@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeworks.llm.arrays import slices
 from tapeworks.session import workspace
 
 CHUNK_BYTES = 4 << 20
-CHUNKS = "chunk long, row int, doc_id long, text string"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -41,8 +41,19 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Documents in chunks of about ``chunk_bytes`` text bytes; a longer text is a chunk of its own."""
+def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, *, carry: bool = False) -> DataFrame:
+    """Documents in chunks of about ``chunk_bytes`` text bytes; a longer text is a chunk of its own.
+
+    With ``carry`` the other columns come along as one struct, ``rest``.
+    """
+    rows = identified(docs)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if carry and rest:
+        rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                           F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest"))
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("row", T.IntegerType()),
+                           *rows.schema.fields])
+
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         row = size = 0
@@ -54,12 +65,12 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, chunk)), pa.array(np.arange(row, row + n, dtype=np.int32)),
-                     part["doc_id"], part["text"]], ["chunk", "row", "doc_id", "text"])
+                     *part.columns], ["chunk", "row", *part.schema.names])
                 row, size = row + n, size + here
 
     spark = docs.sparkSession
     table = f"chunks_{uuid.uuid4().hex}"
-    (identified(docs).mapInArrow(number, CHUNKS).write.format("parquet")
+    (rows.mapInArrow(number, schema).write.format("parquet")
      .option("compression", "zstd").option("path", workspace(spark, "chunks"))
      .bucketBy(partitions(spark), "chunk").sortBy("chunk", "row").saveAsTable(table))
     return spark.table(table)

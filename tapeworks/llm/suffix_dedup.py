@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeworks.llm.arrays import byte_values, flat, grams, leftmost_minimum, text_hashes
 from tapeworks.llm.staging import ask, chunked, ordered, shards_for, staged, tell
@@ -198,10 +199,10 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
     """n_bytes, n_removed, n_spans and digest of the remaining bytes of each document.
 
     With ``with_text`` also ``kept_text``: the remaining bytes as text, without
-    characters that a cut went through.
+    characters that a cut went through, and ``rest``, a struct of the other columns.
     """
     spark = docs.sparkSession
-    chunks = chunked(docs)
+    chunks = chunked(docs, carry=with_text)
     total = chunks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = shards_for(total // (width // 3), SEEDS_PER_SHARD, spark)
     n_buckets = shards_for(total, BYTES_PER_BUCKET, spark)
@@ -300,12 +301,27 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
                "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())}
         if with_text:
             out["kept_text"] = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())
+            if "rest" in table.column_names:
+                out["rest"] = table["rest"]
         return pa.table(out)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return tell(chunks, copies.unionByName(spans), cut,
-                schema + (", kept_text string" if with_text else ""))
+    schema = T.StructType.fromDDL(
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        + (", kept_text string" if with_text else ""))
+    if "rest" in chunks.columns:
+        schema = schema.add(chunks.schema["rest"])
+    return tell(chunks, copies.unionByName(spans), cut, schema)
 
 
 def flat_binary(column) -> tuple[np.ndarray, np.ndarray]:
     return flat(column.cast(pa.large_binary()).view(pa.large_string()))
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents with their repeated bytes cut out; all rows and columns stay."""
+    cut = later_bytes(docs, width, with_text=True)
+    other = {c: F.col(f"rest.`{c}`") for c in docs.columns if c not in ("doc_id", "text")}
+    if "n_chars" in other:
+        other["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    every = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), **other}
+    return cut.select(*(every[c].alias(c) for c in docs.columns))
