@@ -53,12 +53,14 @@ COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
 
 def _lines(data, offsets, inside):
     """Starts, ends and text numbers of the lines that hold a word."""
+    if not len(data):
+        return data.astype(np.int64), data.astype(np.int64), data.astype(np.int64)
     breaks = np.flatnonzero(data == 10)
     some = offsets[:-1][offsets[1:] > offsets[:-1]]
     starts = np.union1d(breaks + 1, some)
     starts = starts[starts < len(data)]
     ends = np.append(starts[1:], len(data))
-    ends = np.where(data[ends - 1] == 10, ends - 1, ends) if len(ends) else ends
+    ends = np.where(data[ends - 1] == 10, ends - 1, ends)
     sums = np.concatenate(([0], np.cumsum(inside)))
     with_word = sums[ends] > sums[starts]
     starts, ends = starts[with_word], ends[with_word]

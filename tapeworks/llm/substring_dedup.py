@@ -83,9 +83,8 @@ def by_shard(shard: np.ndarray):
     """Order of the keys by shard, and (shard, from, to) of each shard in it."""
     order = np.argsort(shard, kind="stable")
     ranked = shard[order]
-    heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) \
-        if len(ranked) else np.zeros(0, np.int64)
-    stops = np.append(heads[1:], len(ranked))
+    edges = np.flatnonzero(ranked[1:] != ranked[:-1]) + 1
+    heads, stops = np.append(0, edges)[:len(ranked)], np.append(edges, len(ranked))[:len(ranked)]
     return order, [(int(ranked[a]), int(a), int(b)) for a, b in zip(heads, stops, strict=True)]
 
 
