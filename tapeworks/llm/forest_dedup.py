@@ -298,8 +298,8 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     placed = grouped.mapInArrow(
         keys, "chunk long, row int, node long, component long, tree int, label binary")
-    # The shortest prefix with few enough classes; the whole label, and then the
-    # node itself, where even that is shared by too many.
+    # The shortest prefix with few enough classes.  Where too many share even a
+    # whole label they are dealt to a ring of halves, each half in two groups.
     deep = placed.withColumn("group", F.lit(None).cast("binary"))
     large = grouped.where(F.col("members") > CLUSTER).limit(1).count() > 0
     if large:
@@ -309,10 +309,16 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 F.count(F.lit(1)).alias("crowd"))
             small = F.col("crowd") <= CLUSTER
             deep = deep.withColumn("prefix", prefix).join(counts, ["component", "tree", "prefix"], "left")
-            last = F.when(F.lit(depth == DEPTH) & (F.col("crowd") > CLUSTER), F.concat(
-                F.col("prefix"), F.unhex(F.hex(F.floor(F.col("node") / CLUSTER)))))
-            deep = deep.withColumn("group", F.coalesce(
-                "group", F.when(small, F.col("prefix")), last)).drop("prefix", "crowd")
+            deep = deep.withColumn("group", F.coalesce("group", F.when(small, F.col("prefix"))))
+            if depth < DEPTH:
+                deep = deep.drop("prefix", "crowd")
+        halves = F.ceil(F.col("crowd") * 2 / CLUSTER)
+        half = F.pmod(F.xxhash64("node"), halves)
+        ring = F.transform(F.array(half, F.pmod(half + 1, halves)), lambda h: F.concat(
+            F.col("prefix"), F.encode(h.cast("string"), "UTF-8")))
+        split = F.col("group").isNull() & (F.col("label") != F.lit(b""))
+        deep = deep.withColumn("group", F.explode(
+            F.when(split, ring).otherwise(F.array("group")))).drop("prefix", "crowd")
     wanted = deep.select("chunk", "row", "node", "component", "tree",
                          F.coalesce("group", F.lit(b"")).alias("group"))
 
