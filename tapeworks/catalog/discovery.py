@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tapeworks import fixtures as X
 from tapeworks.catalog.registry import query
 from tapeworks.functions import links as L
-from tapeworks.operators import discovery as D, messages as MS
+from tapeworks.operators import discovery as D, manifest as M, messages as MS
 from tapeworks.plans import discover as P
+from tapeworks.session import workspace
 
 _BASE = r"regexp_extract(url, '^(https?://[^/?#]*)', 1)"
 _PAGE_PATH = r"regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1)"
@@ -22,10 +23,11 @@ anchors as (
           regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a\\s*>') as list from pages_v)),
 hrefs as (
   select page_id, url, pos, {_PLAIN.format("concat(regexp_extract(a, '(?i)href=\"([^\"]*)\"', 1), regexp_extract(a, '(?i)href=''([^'']*)''', 1))")} as href,
-    trim({_PLAIN.format("regexp_replace(a, '<[^>]*>', '', 'g')")}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as label
+    regexp_extract(a, '(?i)type="([^"]*)"', 1) as type_attr,
+    trim({_PLAIN.format("regexp_replace(a, '<[^>]*>', '', 'g')")}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as "text"
   from anchors),
 found as (
-  select page_id, cast(pos as int) as pos, label, case when href like 'http%://%' then href
+  select page_id, cast(pos as int) as pos, href, type_attr, "text", case when href like 'http%://%' then href
     when href like '//%' then concat(split_part(url, ':', 1), ':', href)
     when href like '/%' then concat({_BASE}, href)
     else concat({_BASE}, case when {_PAGE_PATH} = '' then '/'
@@ -34,7 +36,8 @@ found as (
 
 
 def _found(spark, sf_dir):
-    return D.page_links(X.listing_pages(spark, sf_dir)).select("page_id", "pos", "label", "link")
+    return D.page_links(X.listing_pages(spark, sf_dir)).select(
+        "page_id", "pos", "href", "type_attr", "text", "link")
 
 
 @query("q_links", f"with {LINKS} select * from found")
@@ -60,10 +63,23 @@ def filenames(spark, sf_dir):
         L.disposition_filename(header, F.col("link")).alias("served_as"))
 
 
-@query("q_rule_matches", f"""
-with {LINKS} select 'bme' as feed, count(*) as links from found
-  where regexp_matches(label, '(?i)_BMEA_posttrade\\.json$')
-union all select unnest(['berlin', 'athex']), count(*) from found where link like '%.csv'""")
+_WANTED = f"""
+{LINKS}, wanted as (
+  select 'bme' as feed, "text" as label, * from found
+    where regexp_matches("text", '(?i)_BMEA_posttrade\\.json$')
+  union all select 'berlin/pretrade', "text", * from found
+    where regexp_matches("text", '(?i)^Download der Pretrade Daten für ')
+  union all select 'berlin/posttrade', "text", * from found
+    where type_attr = 'text/comma-separated-values'
+  union all select 'athex', regexp_extract(link, '([^/]*)$', 1), * from found where link like '%.csv'
+  union all select 'cboe/' || m || '/hourly', regexp_extract(link, '([^/]*)$', 1), found.*
+    from found, (values ('bxe'), ('cxe'), ('dxe'), ('apa')) markets(m)
+    where regexp_matches(link,
+      '(?i)rts13_public_trade_data_' || m || '_[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}_[0-9]{{2}}\\.csv$')
+  union all select 'deutsche-boerse', href, * from found where link like '%.json.gz')"""
+
+
+@query("q_rule_matches", f"with {_WANTED} select feed, count(*) as links from wanted group by 1")
 def rule_matches(spark, sf_dir):
     return D.listing_counts(D.match_rules(_found(spark, sf_dir)), "feed").withColumnRenamed(
         "files", "links")
@@ -79,45 +95,73 @@ def market_counts(spark, sf_dir):
 
 
 _FILES = f"""
-with {LINKS}, wanted as (
-  select 'bme' as feed, * from found where regexp_matches(label, '(?i)_BMEA_posttrade\\.json$')
-  union all select f, found.* from found, (values ('berlin'), ('athex')) v(f)
-  where link like '%.csv'),
-files as (
-  select feed, regexp_extract(link, '([^/]*)$', 1) as file,
-    arg_max(link, page_id * 1000000 + pos) as link, min(page_id * 1000000 + pos) as p
-  from wanted group by all),
-seen as (select concat('f', c_custkey % 50, '.csv') as file,
-           case when c_custkey % 50 < 25 then 'berlin' else 'lsx' end as feed from customer)"""
+with {_WANTED}, files as (
+  select feed, label, link, page_id, pos from wanted where feed <> 'athex'
+  union all select feed, label, arg_max(link, pos), page_id, min(pos) from wanted
+  where feed = 'athex' group by feed, label, page_id),
+seen as (
+  select concat('f', c_custkey % 25, '.csv') as label from customer
+  union select concat('post ', c_custkey % 7) from customer),
+unseen as (select * from files f where not exists (select 1 from seen s where s.label = f.label))"""
 
 
 def _seen(spark, sf_dir):
-    return X.table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("f"), F.col("c_custkey") % 50, F.lit(".csv")).alias("label"),
-        F.when(F.col("c_custkey") % 50 < 25, "berlin").otherwise("lsx").alias("exchange"))
+    """Labels under exchanges that none of the pages' feeds belong to."""
+    customer = X.table(spark, sf_dir, "customer")
+    return customer.select(
+        F.concat(F.lit("f"), F.col("c_custkey") % 25, F.lit(".csv")).alias("label"),
+        F.lit("lsx").alias("exchange")).unionByName(customer.select(
+            F.concat(F.lit("post "), F.col("c_custkey") % 7).alias("label"),
+            F.lit("elsewhere").alias("exchange")))
 
 
 @query("q_link_discovery", _FILES + """
-select feed, file, link, p // 1000000 as page_id, cast(p % 1000000 as int) as pos, cast(place as int) as place from (
-  select *, row_number() over (partition by feed order by p) as place from files f
-  where not exists (select 1 from seen s where s.file = f.file and s.feed = f.feed))
-where place <= 50""")
+select feed, label, link, page_id, pos, regexp_extract(link, '([^/]*)$', 1) as file from unseen""")
 def link_discovery(spark, sf_dir):
-    """The cap counts new files only."""
-    new = P.discover(X.listing_pages(spark, sf_dir), _seen(spark, sf_dir), cap=50)
-    return new.select("feed", "file", "link", "page_id", "pos", "place")
+    """All new links; no page reaches a feed's cap."""
+    return P.discover(X.listing_pages(spark, sf_dir), _seen(spark, sf_dir)).select(
+        "feed", "label", "link", "page_id", "pos", "file")
+
+
+_TWO = D.LinkRule("all", "link", ".", label="href", cap=2)
 
 
-@query("q_link_discovery_capped", _FILES + """
-select feed, file, cast(place as int) as place from (
-  select *, row_number() over (partition by feed order by p) as place from files f)
-  f where place <= 100
-  and not exists (select 1 from seen s where s.file = f.file and s.feed = f.feed)""")
+@query("q_link_discovery_capped", f"""
+with {LINKS}, seen as (select concat('/p/t', c_custkey % 20) as label from customer),
+firsts as (select * from found qualify row_number() over (partition by page_id order by pos) <= 2)
+select page_id, pos, href as label from firsts where href not in (select label from seen)""")
 def link_discovery_capped(spark, sf_dir):
     """The cap comes before the manifest is asked."""
-    new = P.discover(X.listing_pages(spark, sf_dir), _seen(spark, sf_dir), cap=100,
-                     cap_new_only=False)
-    return new.select("feed", "file", "place")
+    seen = X.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("/p/t"), F.col("c_custkey") % 20).alias("label"), F.lit("x").alias("exchange"))
+    new = P.discover(X.listing_pages(spark, sf_dir), seen, rules=(_TWO._replace(cap_first=True),))
+    return new.select("page_id", "pos", "label")
+
+
+@query("q_discovery_drained", f"""
+with {LINKS}, numbered as (
+  select page_id, pos, row_number() over (partition by page_id order by pos) as n
+  from (select page_id, min(pos) as pos from found group by page_id, concat(page_id, ' ', href)))
+select page_id, cast(pos as int) as pos, cast((n + 1) // 2 as int) as run from numbered where n <= 6""")
+def discovery_drained(spark, sf_dir):
+    """Three runs under a cap of two new links a page: what a run leaves, the next finds."""
+    pages = X.listing_pages(spark, sf_dir)
+    known = None
+    for run in (1, 2, 3):
+        bronze = spark.createDataFrame([], "label string, exchange string") if known is None else \
+            known.select("label", F.lit("x").alias("exchange"))
+        # A label is a page's own here, so that pages don't settle each other's links.
+        found = D.match_rules(D.page_links(pages), (_TWO,)).withColumn(
+            "label", F.concat("page_id", F.lit(" "), "label"))
+        first = D.last_link_per_file(
+            found.withColumn("link", F.col("label")), ["feed", "page_id", "cap"], ["pos"])
+        new = D.capped(M.not_seen(first.withColumn("label", F.col("link")), bronze, ["label"]),
+                       F.lit(True)).select("page_id", "pos", "label", F.lit(run).alias("run"))
+        folder = workspace(spark, "drained")
+        new.write.parquet(folder)
+        new = spark.read.parquet(folder)
+        known = new if known is None else known.unionByName(new)
+    return known.select("page_id", "pos", "run")
 
 
 # --- pointer ------------------------------------------------------------------------------
@@ -130,8 +174,9 @@ def _stamped(spark, sf_dir):
 
 
 def _marks(spark, sf_dir):
-    customers = X.table(spark, sf_dir, "events").select(F.col("event_type").alias("feed")).distinct()
-    return customers.withColumn("mark", F.concat(
+    """Marks of all feeds but one."""
+    feeds = X.table(spark, sf_dir, "events").select(F.col("event_type").alias("feed")).distinct()
+    return feeds.where("feed <> 'signup'").withColumn("mark", F.concat(
         F.lit("2024-01-"), F.length("feed") + 10, F.lit(" 12:30:00")).cast("timestamp"))
 
 
@@ -141,8 +186,10 @@ with links as (
     concat('https://x.example.org/api/download/DEUR?a=1&b=', event_id, '-',
       strftime(ts, '%Y-%m-%dT%H_%M'), '.json.gz') as link from events),
 marks as (select distinct event_type as feed,
-  cast(concat('2024-01-', length(event_type) + 10, ' 12:30:00') as timestamp) as mark from events),
-fresh as (select l.*, m.mark from links l join marks m using (feed) where stamped_at > mark)"""
+  cast(concat('2024-01-', length(event_type) + 10, ' 12:30:00') as timestamp) as mark from events
+  where event_type <> 'signup'),
+fresh as (select l.*, m.mark from links l left join marks m using (feed)
+  where m.mark is null or stamped_at > mark)"""
 
 
 @query("q_highwater", _STAMPED + """
@@ -160,13 +207,27 @@ def highwater(spark, sf_dir):
     return counts.join(after, "feed")
 
 
-@query("q_highwater_batch", _STAMPED + """
-select feed, link, cast(place as int) as place from (
-  select *, row_number() over (partition by feed order by link) as place from fresh)
-where place <= 100""")
+@query("q_highwater_batch", _STAMPED + """, batch as (
+  select *, rank() over (partition by feed order by stamped_at) as place from fresh
+  qualify place <= 100)
+select feed, link, strftime(max(stamped_at) over (partition by feed), '%Y-%m-%d %H:%M') as mark
+from batch""")
 def highwater_batch(spark, sf_dir):
-    fresh, _ = P.discover_after_mark(_stamped(spark, sf_dir), _marks(spark, sf_dir))
-    return fresh.select("feed", "link", "place")
+    """The oldest hundred links of each feed in whole minutes, and the marks after them."""
+    found = P.discover_after_mark(_stamped(spark, sf_dir), _marks(spark, sf_dir), cap=100)
+    after = found.marks.select("feed", F.date_format("mark", "yyyy-MM-dd HH:mm").alias("mark"))
+    return found.fresh.select("feed", "link").join(after, "feed")
+
+
+@query("q_highwater_drained", _STAMPED + """
+select feed, count(*) as links, count(distinct link) as kinds from fresh group by 1""")
+def highwater_drained(spark, sf_dir):
+    """One capped batch and one without a cap: together they are all fresh links, once each."""
+    links, marks = _stamped(spark, sf_dir), _marks(spark, sf_dir)
+    first = P.discover_after_mark(links, marks, cap=100)
+    rest = P.discover_after_mark(links, first.marks)
+    return first.fresh.unionByName(rest.fresh).groupBy("feed").agg(
+        F.count("*").alias("links"), F.count_distinct("link").alias("kinds"))
 
 
 # --- messages -----------------------------------------------------------------------------

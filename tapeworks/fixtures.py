@@ -16,7 +16,6 @@ from tapeworks.functions.hashing import trade_hash
 from tapeworks.functions.parsing import notional
 from tapeworks.sources.reference_data import clean_master
 from tapeworks.sources.rows import schema_version, typed_select
-from tapeworks.sources.tables import read_spread
 from tapeworks.schema import SCHEMAS
 
 SPARK = {"epoch": "unix_seconds(cast({} as timestamp))"}
@@ -31,7 +30,7 @@ FEEDS = ("berlin/pretrade", "berlin/posttrade", "berlin/other", "athex/AXE", "cb
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _stamp(dialect: dict, seconds: str) -> str:
@@ -313,7 +312,7 @@ MARKET_NAMES = ("bxe", "CXE", "dxe", "apa", "zzz")
 
 def listing_pages_sql(source: str) -> str:
     """Pages with a file listing appended: hourly CSVs, a repeated file under a
-    second address, and a post-trade JSON."""
+    second address, a post-trade JSON, links known by type or text, a stamped file."""
     return f"""
 select page_id, url, concat(html,
   '<a href="files/rts13_public_trade_data_', {choice('page_id', MARKET_NAMES)},
@@ -323,6 +322,11 @@ select page_id, url, concat(html,
   '<A class=x href=''/b/f', cast(page_id % 50 as string), '.csv''>two</A>',
   '<a href="https://x.example.org/d?id=', cast(page_id as string), '&amp;z=1">',
   '<b>2025-08-01</b>', cast(page_id as string), '_BMEA_posttrade.json</a>',
+  '<a type="text/comma-separated-values" href="/p/t', cast(page_id % 40 as string),
+  '">post ', cast(page_id % 40 as string), '</a>',
+  '<a href="/p/pre?d=', cast(page_id as string), '">Download der Pretrade Daten für ',
+  cast(page_id % 30 as string), '</a>',
+  '<a href="/z/DEUR-2025-08-01T', cast(page_id % 10 + 10 as string), '_00.json.gz">gz</a>',
   '<a href="">none</a>') as html
 from {source}"""
 

@@ -9,32 +9,53 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tapeworks.functions import links as L
 
 
+# Hourly files of the four markets.
+MARKETS = ("bxe", "cxe", "dxe", "apa")
+
+
+def hourly_file(market: str) -> str:
+    return rf"(?i)rts13_public_trade_data_({market})_\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}\.csv$"
+
+
+HOURLY_FILE = hourly_file("|".join(MARKETS))
+
+
 class LinkRule(NamedTuple):
+    """What a feed looks for on a page and how it knows a file again.
+
+    ``target`` is the column the pattern is tested on: ``text``, ``link`` or
+    ``type_attr``.  ``label`` is what the manifest is asked for: the link's text,
+    its ``href`` as written, or the ``file`` name.  ``once_per_file`` takes one
+    link per page and file name.  ``cap`` bounds the links of a page in one run:
+    only new ones count, or, with ``cap_first``, all of them.
+    """
     feed: str
-    target: str          # 'label' or 'url'
+    target: str
     pattern: str
+    label: str = "text"
+    once_per_file: bool = False
+    cap: int | None = None
+    cap_first: bool = False
 
 
-# What each feed looks for, on the link text or on the URL.
+# Feeds, patterns, what a file is known by, and caps.
 LINK_RULES = (
-    LinkRule("bme", "label", r"(?i)_BMEA_posttrade\.json$"),
-    LinkRule("munich/pretrade", "label", r"(?i)^pretrade\."),
-    LinkRule("munich/posttrade", "label", r"(?i)^posttrade\."),
-    LinkRule("lsx", "label", r"(?i)^Pretrade Daten "),
-    LinkRule("boersenag", "label", r"(?i)Download der Daten für "),
-    LinkRule("deutsche-boerse", "url", r"\.json\.gz$"),
-    LinkRule("berlin", "url", r"\.csv$"),
-    LinkRule("athex", "url", r"\.csv$"),
+    LinkRule("bme", "text", r"(?i)_BMEA_posttrade\.json$"),
+    LinkRule("munich/pretrade", "text", r"(?i)^pretrade\."),
+    LinkRule("munich/posttrade", "text", r"(?i)^posttrade\."),
+    LinkRule("lsx", "text", r"(?i)^Pretrade Daten "),
+    LinkRule("boersenag", "text", r"(?i)Download der Daten für "),
+    LinkRule("berlin/pretrade", "text", r"(?i)^Download der Pretrade Daten für ", cap=50),
+    LinkRule("berlin/posttrade", "type_attr", r"^text/comma-separated-values$", cap=50),
+    LinkRule("athex", "link", r"\.csv$", label="file", once_per_file=True),
+    *(LinkRule(f"cboe/{m}/hourly", "link", hourly_file(m), label="file") for m in MARKETS),
+    LinkRule("deutsche-boerse", "link", r"\.json\.gz$", label="href", cap=100, cap_first=True),
 )
 
-# Hourly files of the four markets.
-MARKETS = ("bxe", "cxe", "dxe", "apa")
-HOURLY_FILE = (r"(?i)rts13_public_trade_data_(" + "|".join(MARKETS)
-               + r")_\d{4}-\d{2}-\d{2}_\d{2}\.csv$")
-
 
 def page_links(pages: DataFrame, *, html: str = "html", base: str = "url") -> DataFrame:
-    """Anchors with a non-empty href: page columns, ``pos``, ``label``, ``link``."""
+    """Anchors with a non-empty href: page columns, ``pos``, ``href``, ``type_attr``,
+    ``text`` and the absolute ``link``."""
     keep = [c for c in pages.columns if c != html]
     # Outer form: the plain one would search every page twice (see sources.rows).
     found = pages.select(*keep, F.posexplode_outer(L.anchors(F.col(html))).alias("pos", "anchor"))
@@ -42,21 +63,27 @@ def page_links(pages: DataFrame, *, html: str = "html", base: str = "url") -> Da
             .withColumn("href", L.anchor_attribute(F.col("anchor"), "href"))
             .where(F.col("href") != "")
             .withColumn("type_attr", L.anchor_attribute(F.col("anchor"), "type"))
-            .withColumn("label", L.anchor_text(F.col("anchor")))
+            .withColumn("text", L.anchor_text(F.col("anchor")))
             .withColumn("link", L.absolute_url(F.col("href"), F.col(base)))
             .drop("anchor"))
 
 
 def match_rules(found: DataFrame, rules: tuple[LinkRule, ...] = LINK_RULES) -> DataFrame:
-    """One row per link and feed that wants it.
+    """One row per link and feed that wants it, with ``label`` and the rule's terms.
 
     The rules are tested as columns of the same row and the hits exploded; a
-    link can serve several feeds, and no pairs are formed by a join.
+    link can serve several feeds, and no pairs are formed by a join.  A link whose
+    label is empty is left out.
     """
+    label = {"text": F.col("text"), "href": F.col("href"), "file": L.last_segment(F.col("link"))}
     hits = F.array_compact(F.array(*[
-        F.when(F.col("label" if r.target == "label" else "link").rlike(r.pattern),
-               F.lit(r.feed)) for r in rules]))
-    return found.withColumn("feed", F.explode_outer(hits)).where(F.col("feed").isNotNull())
+        F.when(F.col(r.target).rlike(r.pattern), F.struct(
+            F.lit(r.feed).alias("feed"), label[r.label].alias("label"),
+            F.lit(r.once_per_file).alias("once_per_file"),
+            F.lit(r.cap).cast("int").alias("cap"), F.lit(r.cap_first).alias("cap_first")))
+        for r in rules]))
+    return (found.withColumn("_hit", F.explode_outer(hits)).where(F.col("_hit").isNotNull())
+            .select("*", "_hit.*").drop("_hit").where(F.col("label") != ""))
 
 
 def market_files(found: DataFrame, link: str = "link") -> DataFrame:
@@ -78,27 +105,41 @@ def last_link_per_file(found: DataFrame, section: list[str], order: list[str],
     ).select(*section, "file", link, *[F.col(f"_first.{c}").alias(c) for c in order])
 
 
-def cap_per_feed(found: DataFrame, cap: int, order: list[Column], feed: str = "feed",
-                 ) -> DataFrame:
-    """The first ``cap`` links of each feed in a run.
-
-    ``row_number() <= cap`` is a group limit for Spark: each task keeps at most
-    ``cap`` links per feed before the shuffle.
-    """
-    place = F.row_number().over(W.partitionBy(feed).orderBy(*order))
-    return found.withColumn("place", place).where(F.col("place") <= cap)
+def capped(found: DataFrame, which: Column, page: str = "page_id", order: str = "pos") -> DataFrame:
+    """Rows for which ``which`` holds, cut to their ``cap`` for each feed and page."""
+    place = F.row_number().over(W.partitionBy("feed", page).orderBy(order))
+    held = found.where(which).withColumn("_place", place).where(
+        F.col("_place") <= F.col("cap")).drop("_place")
+    return found.where(~which).unionByName(held)
 
 
 def newer_than_mark(found: DataFrame, marks: DataFrame, link: str = "link",
                     feed: str = "feed") -> DataFrame:
-    """Links stamped after the feed's mark; ``marks`` is ``feed, mark``."""
+    """Links stamped after the feed's mark (``feed, mark``); without a mark, all.
+
+    ``stamped_at`` is null for a link without a readable stamp: those are nobody's
+    news, see ``unstamped``.
+    """
     stamped = found.withColumn("stamped_at", L.link_minute(F.col(link)))
-    return (stamped.join(marks.select(F.col(feed), "mark"), feed)
-            .where(F.col("stamped_at") > F.col("mark")).drop("mark"))
+    return (stamped.join(marks.select(F.col(feed), "mark"), feed, "left")
+            .where(F.col("stamped_at") > F.coalesce("mark", F.lit(0).cast("timestamp"))).drop("mark"))
+
+
+def unstamped(found: DataFrame, link: str = "link") -> DataFrame:
+    """Links whose stamp can't be read."""
+    return found.where(L.link_minute(F.col(link)).isNull())
+
+
+def oldest_minutes(fresh: DataFrame, cap: int | None, feed: str = "feed") -> DataFrame:
+    """The oldest links of each feed: whole minutes, as long as they begin within ``cap``."""
+    if cap is None:
+        return fresh
+    place = F.rank().over(W.partitionBy(feed).orderBy("stamped_at"))
+    return fresh.withColumn("place", place).where(F.col("place") <= cap).drop("place")
 
 
 def advance_marks(marks: DataFrame, fetched: DataFrame, feed: str = "feed") -> DataFrame:
     """The marks after a run: the newest fetched stamp, or the old mark."""
     newest = fetched.groupBy(feed).agg(F.max("stamped_at").alias("newest"))
-    return (marks.join(newest, feed, "left")
+    return (marks.select(feed, "mark").join(newest, feed, "full")
             .select(feed, F.greatest("mark", "newest").alias("mark")))

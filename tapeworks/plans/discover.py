@@ -2,35 +2,52 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F
 
+from tapeworks.functions import links as L
 from tapeworks.operators.discovery import (
-    LINK_RULES, LinkRule, advance_marks, cap_per_feed, last_link_per_file, match_rules,
-    newer_than_mark, page_links,
+    LINK_RULES, LinkRule, advance_marks, capped, last_link_per_file, match_rules,
+    newer_than_mark, oldest_minutes, page_links, unstamped,
 )
 from tapeworks.operators.manifest import not_seen
 
+FOUND = ("feed", "label", "link", "page_id", "pos", "cap", "cap_first")
+
 
-def discover(pages: DataFrame, bronze: DataFrame, *, rules: tuple[LinkRule, ...] = LINK_RULES,
-             cap: int = 50, cap_new_only: bool = True) -> DataFrame:
+def discover(pages: DataFrame, bronze: DataFrame, *,
+             rules: tuple[LinkRule, ...] = LINK_RULES) -> DataFrame:
     """Pages → anchors → absolute links → wanted → one per file → unseen → capped.
 
-    ``cap_new_only`` counts only links that are new; without it the cap comes
-    before the manifest is asked, so seen links use it up.
+    How a feed's files are known, deduplicated and capped is the rule's business;
+    a label counts as seen whatever exchange it was seen under.  Links that a cap
+    turns away are found again by the next run.
     """
     wanted = match_rules(page_links(pages), rules)
-    files = last_link_per_file(wanted, ["feed"], ["page_id", "pos"])
-    named = files.withColumn("exchange", F.substring_index("feed", "/", 1)).withColumn(
-        "label", F.col("file"))
-    order = [F.col("page_id"), F.col("pos")]
-    if cap_new_only:
-        named = not_seen(named, bronze, ["exchange", "label"])
-        return cap_per_feed(named, cap, order)
-    return not_seen(cap_per_feed(named, cap, order), bronze, ["exchange", "label"])
-
-
-def discover_after_mark(found: DataFrame, marks: DataFrame, *, cap: int = 100,
-                        link: str = "link") -> tuple[DataFrame, DataFrame]:
-    """Links newer than their feed's mark, oldest name first, and the new marks."""
-    fresh = cap_per_feed(newer_than_mark(found, marks, link), cap, [F.col(link)])
-    return fresh, advance_marks(marks, fresh)
+    once = F.col("once_per_file")
+    files = last_link_per_file(wanted.where(once), ["feed", "page_id", "cap", "cap_first"], ["pos"])
+    links = wanted.where(~once).select(*FOUND).unionByName(
+        files.withColumn("label", F.col("file")).select(*FOUND))
+    has_cap = F.col("cap").isNotNull()
+    links = capped(links, has_cap & F.col("cap_first"))
+    new = not_seen(links, bronze, ["label"])
+    return capped(new, has_cap & ~F.col("cap_first")).withColumn(
+        "file", L.last_segment(F.col("link"))).drop("cap", "cap_first")
+
+
+class Pointed(NamedTuple):
+    """Links to fetch, the marks once they are, and links without a readable stamp."""
+    fresh: DataFrame
+    marks: DataFrame
+    rejects: DataFrame
+
+
+def discover_after_mark(found: DataFrame, marks: DataFrame, *, cap: int | None = None,
+                        link: str = "link") -> Pointed:
+    """Links newer than their feed's mark, oldest first, and the marks after them.
+
+    Minutes are fetched whole, so a mark never passes a link that a cap has left.
+    """
+    fresh = oldest_minutes(newer_than_mark(found, marks, link), cap)
+    return Pointed(fresh, advance_marks(marks, fresh), unstamped(found, link))
