@@ -18,14 +18,15 @@ BRONZE = f"bronze_v as ({X.bronze_sql(X.DUCK, 'events')})"
 with {BRONZE} select sha256, exchange, label, scraped_at from bronze_v
 where status = 'downloaded' order by scraped_at, sha256 limit 1000""")
 def pending(spark, sf_dir):
-    return M.pending(X.bronze_v(spark, sf_dir)).select("sha256", "exchange", "label", "scraped_at")
+    return M.pending(X.bronze_v(spark, sf_dir), limit=1000).select(
+        "sha256", "exchange", "label", "scraped_at")
 
 
 @query("q_pending_feed", f"""
 with {BRONZE} select sha256, scraped_at from bronze_v
 where status = 'downloaded' and exchange = 'bme' order by scraped_at, sha256 limit 1000""")
 def pending_feed(spark, sf_dir):
-    return M.pending(X.bronze_v(spark, sf_dir), "bme").select("sha256", "scraped_at")
+    return M.pending(X.bronze_v(spark, sf_dir), "bme", 1000).select("sha256", "scraped_at")
 
 
 _EVENTS = f"""

@@ -1,4 +1,4 @@
-"""Queries on writers: partitions, snapshots, compaction, retention, logs."""
+"""Queries on writers: partitions, manifest states, compaction, retention, logs."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from tapeworks.catalog.rows import TRADES, clock, money
 from tapeworks.operators.manifest import ManifestTables
 from tapeworks.session import workspace
 from tapeworks.sinks import logs, maintenance, parquet as P
-from tapeworks.sinks.snapshots import SnapshotTables
 from tapeworks.sources.silver import read_live, read_silver
 
 _PATH = """concat('trades/exchange=', exchange, '/year=', strftime(event_ts, '%Y'), '/month=',
@@ -61,6 +60,12 @@ def sink_roundtrip(spark, sf_dir):
     return _by_day(read_silver(spark, folder, "trades"))
 
 
+def _append(spark, manifest, folder, table, rows, at):
+    pass_id = P.write_silver(rows, folder, table, lineage="bronze_sha256" in rows.columns)
+    manifest.record_silver(P.silver_rows(P.written_files(
+        spark, folder, table, manifest.silver(), pass_id=pass_id), F.lit(at)))
+
+
 def _written(spark, sf_dir, appends=1):
     """Trades written with lineage and registered, once per append."""
     folder = workspace(spark, "silver")
@@ -69,9 +74,7 @@ def _written(spark, sf_dir, appends=1):
     rows = rows.withColumn("bronze_sha256", F.col("trade_size").cast("int").cast("string"))
     for i in range(appends):
         part = rows.where(F.col("seq") % appends == i) if appends > 1 else rows
-        P.write_silver(part, folder, "trades", lineage=True)
-        manifest.record_silver(P.silver_rows(
-            P.written_files(spark, folder, "trades", manifest.silver()), F.lit(float(i))))
+        _append(spark, manifest, folder, "trades", part, float(i))
     return folder, manifest
 
 
@@ -102,15 +105,18 @@ def compact(spark, sf_dir):
 
 @query("q_compact_files", f"""
 with {TRADES} select {_PATH} as partition_path, cast(count(*) as bigint) as live_rows,
-  cast(count(*) as bigint) as compacted_rows from trades_v group by 1""")
+  case when count(distinct seq % 2) = 2 then count(*) else 0 end as compacted_rows
+from trades_v group by 1""")
 def compact_files(spark, sf_dir):
-    """Every directory got two files, so all of them are rewritten."""
+    """Directories that got two files are rewritten, once."""
     folder, manifest = _written(spark, sf_dir, appends=2)
-    maintenance.compact(spark, manifest, folder, "trades", min_files=1, now=10.0)
+    maintenance.compact(spark, manifest, folder, "trades", now=10.0)
+    # A second one finds nothing to do.
+    maintenance.compact(spark, manifest, folder, "trades", now=11.0, event_no=2)
     rows = F.col("rows")
     return manifest.silver().groupBy("partition_path").agg(
         F.sum(F.when(F.col("status") == "written", rows)).alias("live_rows"),
-        F.sum(F.when(F.col("status") == "compacted", rows)).alias("compacted_rows"))
+        F.sum(F.when(F.col("status") == "compacted", rows).otherwise(0)).alias("compacted_rows"))
 
 
 @query("q_expire", _BY_DAY.replace("from trades_v", "from trades_v "
@@ -121,41 +127,39 @@ def expire(spark, sf_dir):
     return _by_day(read_live(spark, folder, "trades", manifest.silver()))
 
 
-# --- snapshots ----------------------------------------------------------------------------
+# --- states in time --------------------------------------------------------------------------
 
-def _snapshots(spark, sf_dir):
-    """Three appends of trades by line number and one of quotes."""
-    tables = SnapshotTables(spark, workspace(spark, "snapshots"))
-    trades = X.trade_rows(spark, sf_dir)
-    written = []
+def _appends(spark, sf_dir):
+    """Three appends of trades by line number, and one of quotes with the second."""
+    folder = workspace(spark, "appends")
+    manifest = ManifestTables(spark, f"{folder}/_manifest")
+    empty = F.lit(None).cast("string")
+    trades = X.trade_rows(spark, sf_dir).withColumn("bronze_sha256", empty)
     for i in range(3):
-        batch = {"trades": trades.where(F.col("seq") % 3 == i)}
+        _append(spark, manifest, folder, "trades", trades.where(F.col("seq") % 3 == i), 100.0 + i)
         if i == 1:
-            batch["quotes"] = X.quote_rows(spark, sf_dir)
-        written.append(tables.append(batch, committed_at=100.0 + i))
-    return tables, written
+            _append(spark, manifest, folder, "quotes",
+                    X.quote_rows(spark, sf_dir).withColumn("bronze_sha256", empty), 101.0)
+    return folder, manifest
 
 
 @query("q_snapshot_asof", _BY_DAY.replace("from trades_v", "from trades_v where seq % 3 < 2"))
 def snapshot_asof(spark, sf_dir):
-    """Rows as of the second commit's time."""
-    tables, _ = _snapshots(spark, sf_dir)
-    return _by_day(tables.read("trades", as_of=101.0))
+    """Rows of the files that the manifest listed at the second append's time."""
+    folder, manifest = _appends(spark, sf_dir)
+    return _by_day(read_live(spark, folder, "trades", manifest.silver(as_of=101.0)))
 
 
 @query("q_snapshot_stats", """
 select 'trades' as "table", 3::bigint as snapshots, count(*) as records,
   count(*) filter (where l_linenumber % 3 < 2) as first_two from lineitem
-union all select 'quotes', 1, count(*), count(*) from orders
-union all select 'bars', 0, 0, 0""")
+union all select 'quotes', 1, count(*), count(*) from orders""")
 def snapshot_stats(spark, sf_dir):
-    """Snapshots per table, and rows as reported by the appends."""
-    tables, _ = _snapshots(spark, sf_dir)
-    rows = tables.commits().groupBy("table").agg(
-        F.sum("rows").alias("records"),
-        F.sum(F.when(F.col("snapshot_no") <= 2, F.col("rows"))).alias("first_two"))
-    return (tables.stats().join(rows, "table", "left")
-            .na.fill(0, ["records", "first_two"]))
+    """Appends and rows per table, in all and up to the second append."""
+    _, manifest = _appends(spark, sf_dir)
+    return manifest.silver().groupBy("table").agg(
+        F.count_distinct("written_at").alias("snapshots"), F.sum("rows").alias("records"),
+        F.sum(F.when(F.col("written_at") <= 101.0, F.col("rows"))).alias("first_two"))
 
 
 # --- logs -----------------------------------------------------------------------------------

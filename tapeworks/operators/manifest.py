@@ -98,15 +98,18 @@ def fold_silver(events: DataFrame) -> DataFrame:
 # --- dedupe -----------------------------------------------------------------
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the first in ``order``.
+    """One row per key, the first in ``order``; rows without a whole key all stay.
 
     An aggregation rather than a window: repeated keys shrink before the shuffle.
     """
     rest = [c for c in batch.columns if c not in keys]
-    best = batch.groupBy(*keys).agg(
+    lacking = F.lit(False)
+    for key in keys:
+        lacking = lacking | F.col(key).isNull()
+    best = batch.where(~lacking).groupBy(*keys).agg(
         F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                         for c in batch.columns])
+                         for c in batch.columns]).unionByName(batch.where(lacking))
 
 
 def not_seen(batch: DataFrame, bronze: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,9 +124,10 @@ def not_seen(batch: DataFrame, bronze: DataFrame, keys: list[str]) -> DataFrame:
 
 # --- queries ----------------------------------------------------------------
 
-def pending(bronze: DataFrame, exchange: str | None = None, limit: int | None = 1000,
+def pending(bronze: DataFrame, exchange: str | None = None, limit: int | None = None,
             ) -> DataFrame:
-    """Files to ingest, oldest first.  ``exchange`` is the whole feed path."""
+    """Files to ingest, oldest first; all of them unless ``limit`` is given.
+    ``exchange`` is the whole feed path."""
     rows = bronze.where(F.col("status") == "downloaded")
     if exchange:
         rows = rows.where(F.col("exchange") == exchange)
@@ -179,8 +183,10 @@ class ManifestTables:
     def bronze(self) -> DataFrame:
         return fold_bronze(self._read("bronze_events", BRONZE_EVENT_SCHEMA))
 
-    def silver(self) -> DataFrame:
-        return fold_silver(self._read("silver_events", SILVER_EVENT_SCHEMA))
+    def silver(self, as_of: float | None = None) -> DataFrame:
+        """Current silver table, or the one after all events up to ``as_of``."""
+        events = self._read("silver_events", SILVER_EVENT_SCHEMA)
+        return fold_silver(events if as_of is None else events.where(F.col("written_at") <= as_of))
 
     def run_log(self) -> DataFrame:
         return self._read("run_log", RUN_LOG_SCHEMA)

@@ -69,16 +69,40 @@ def write_exposition(lines: DataFrame, path: str) -> None:
      .write.mode("overwrite").text(path))
 
 
+# Descriptions of the counters.
+FILES_INGESTED = "Bronze files successfully ingested to silver"
+ROWS_INGESTED = "Silver rows produced by ingest"
+FILES_DOWNLOADED = "Files downloaded"
+BYTES_DOWNLOADED = "Bytes downloaded"
+DOWNLOAD_FAILURES = "Download failures"
+
+
+def landing_increments(landed: DataFrame, failures: DataFrame, method: str, at: Column) -> DataFrame:
+    """The download counters: files and bytes from landed bronze rows, failures from a
+    table with their ``exchange``."""
+    def of(df: DataFrame, name: str, text: str, value: Column) -> DataFrame:
+        labels = F.create_map(F.lit("exchange"), "root", F.lit("method"), F.lit(method))
+        return (df.groupBy(F.substring_index("exchange", "/", 1).alias("root"))
+                .agg(value.cast("double").alias("value"))
+                .select(F.lit(name).alias("name"), F.lit(text).alias("description"),
+                        labels.alias("labels"), "value"))
+
+    return (of(landed, "scraper_files_total", FILES_DOWNLOADED, F.count("*"))
+            .unionByName(of(landed, "scraper_bytes_total", BYTES_DOWNLOADED, F.sum("bytes_size")))
+            .unionByName(of(failures, "scraper_download_failures_total", DOWNLOAD_FAILURES,
+                            F.count("*"))).withColumn("at", at))
+
+
 def ingest_increments(outcomes: DataFrame, at: Column) -> DataFrame:
     """The counters an ingest pass adds to, from its outcome table."""
     files = (outcomes.where((F.col("outcome") == "ok"))
              .groupBy(F.substring_index("exchange", "/", 1).alias("root"))
              .agg(F.count("*").cast("double").alias("value"))
              .select(F.lit("ingest_files_total").alias("name"),
-                     F.lit("Bronze files written to silver").alias("description"),
+                     F.lit(FILES_INGESTED).alias("description"),
                      F.create_map(F.lit("exchange"), "root").alias("labels"), "value"))
     rows = (outcomes.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("double").alias("value"))
             .select(F.lit("ingest_rows_total").alias("name"),
-                    F.lit("Silver rows produced by ingest").alias("description"),
+                    F.lit(ROWS_INGESTED).alias("description"),
                     F.create_map().cast("map<string,string>").alias("labels"), "value"))
     return files.unionByName(rows).withColumn("at", at)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,15 +48,15 @@ def build_session(app_name: str = "tapeworks", *, master: str | None = None,
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder.  Only where it is unset
-    (tests on one machine) a temporary folder is chosen, and recorded in the
-    session so that later calls stay together.
+    ``spark.checkpoint.dir`` names the shared folder.  Only where it is unset and
+    one process does all the work (tests) a temporary folder is chosen, and
+    recorded in the session so that later calls stay together.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("tapeworks.workspace", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tapeworks-")
         spark.conf.set("tapeworks.workspace", base)

@@ -1 +1 @@
-"""Writers: partitioned Parquet, snapshots, logs, and file maintenance."""
+"""Writers: partitioned Parquet, logs, and file maintenance."""

@@ -9,38 +9,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapeworks.operators.manifest import ManifestTables
-from tapeworks.operators.sizing import broadcast_if_small
 from tapeworks.sinks.parquet import silver_rows, write_silver, written_files
-from tapeworks.sources.silver import read_silver
+from tapeworks.sources.silver import in_files, read_silver
 
+# Files below this size are small.
+SMALL_BYTES = 128 << 20
 
-def crowded_partitions(silver: DataFrame, table: str, min_files: int) -> DataFrame:
-    """Partitions with at least ``min_files`` live files."""
-    live = silver.where((F.col("table") == table) & (F.col("status") == "written"))
-    return (live.groupBy("partition_path").agg(F.count("*").alias("files"),
-                                               F.sum("rows").alias("rows"))
-            .where(F.col("files") >= min_files))
+
+def small_files(silver: DataFrame, table: str, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    return silver.where((F.col("table") == table) & (F.col("status") == "written")
+                        & (F.col("bytes_size") < small_bytes))
+
+
+def crowded_partitions(silver: DataFrame, table: str, min_files: int,
+                       small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Partitions with at least ``min_files`` small files that would fit fewer files."""
+    fewer = F.ceil(F.col("bytes") / small_bytes)
+    return (small_files(silver, table, small_bytes).groupBy("partition_path")
+            .agg(F.count("*").alias("files"), F.sum("rows").alias("rows"),
+                 F.sum("bytes_size").alias("bytes"))
+            .where((F.col("files") >= min_files) & (F.col("files") > fewer)))
 
 
 def compact(spark: SparkSession, manifest: ManifestTables, root: str, table: str, *,
-            min_files: int = 2, now: float, started_at: float | None = None,
+            min_files: int = 2, small_bytes: int = SMALL_BYTES, now: float,
             event_no: int = 1) -> None:
-    """Rewrite crowded partitions into few sorted files.
+    """Rewrite the small files of crowded partitions into few sorted ones.
+
+    Large files are left alone, and so is a partition whose small files would not
+    become fewer: a compaction that follows another finds nothing to do.
 
     New files and the old ones' new status enter the manifest in one append, so
     a reader sees either the old files or the new ones, and a job that dies
     before that leaves everything as it was.
     """
     state = manifest.silver()
-    old = (state.where((F.col("table") == table) & (F.col("status") == "written"))
-           .join(crowded_partitions(state, table, min_files).select("partition_path"),
-                 "partition_path", "left_semi"))
-    rows = (read_silver(spark, root, table, "bronze_sha256")
-            .withColumn("_file", F.col("_metadata.file_path"))
-            .join(broadcast_if_small(old.select(F.col("target_uri").alias("_file"))),
-                  "_file", "left_semi").drop("_file"))
-    write_silver(rows, root, table, lineage=True)
-    fresh = silver_rows(written_files(spark, root, table, state, since=started_at), F.lit(now))
+    old = small_files(state, table, small_bytes).join(
+        crowded_partitions(state, table, min_files, small_bytes).select("partition_path"),
+        "partition_path", "left_semi")
+    rows = in_files(read_silver(spark, root, table, "bronze_sha256"), old)
+    pass_id = write_silver(rows, root, table, lineage=True)
+    fresh = silver_rows(written_files(spark, root, table, state, pass_id=pass_id), F.lit(now))
     retired = old.withColumn("status", F.lit("compacted")).withColumn("written_at", F.lit(now))
     manifest.record_silver(fresh.unionByName(retired.select(*fresh.columns)), event_no)
 

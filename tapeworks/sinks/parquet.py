@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tapeworks.functions.layout import date_parts, partition_dir, partition_value
@@ -9,7 +11,12 @@ from tapeworks.schema import SCHEMAS
 
 # Path columns have names of their own, so the values inside the files stay
 # readable as they were written (a path only holds the cleaned text).
-PARTITION_COLUMNS = ("p_exchange", "p_year", "p_month", "p_day", "p_instrument_type")
+DIRECTORY_COLUMNS = ("p_exchange", "p_year", "p_month", "p_day", "p_instrument_type")
+# The innermost directory names the write, so a write finds its own files again
+# and one that is repeated replaces them.
+PARTITION_COLUMNS = (*DIRECTORY_COLUMNS, "p_pass")
+# In-memory bytes behind one file; Spark's default would make files far too small.
+FILE_BYTES = "512m"
 SORT_COLUMNS = ("event_ts", "isin", "seq")
 ROW_GROUP_ROWS = 65_536
 
@@ -27,14 +34,18 @@ def path_value(value: Column) -> Column:
     sort, no longer sees the order its writer wants, and replaces the sort by one
     on the path columns alone; an empty piece of the time keeps the column in.
     """
-    return F.concat(partition_value(value), F.left(F.date_format("event_ts", "yyyy"), F.lit(0)))
+    return never_constant(partition_value(value))
+
+
+def never_constant(value: Column) -> Column:
+    return F.concat(value, F.left(F.date_format("event_ts", "yyyy"), F.lit(0)))
 
 
-def with_partition_columns(df: DataFrame) -> DataFrame:
+def with_partition_columns(df: DataFrame, pass_id: str) -> DataFrame:
     year, month, day = date_parts(F.col("event_ts"))
     return df.withColumns(dict(zip(PARTITION_COLUMNS, (
         path_value(F.col("exchange")), year, month, day,
-        path_value(F.col("instrument_type"))))))
+        path_value(F.col("instrument_type")), never_constant(F.lit(pass_id))))))
 
 
 def _sort_keys(df: DataFrame) -> list[Column]:
@@ -54,40 +65,50 @@ def lay_out(df: DataFrame, partition_columns: tuple[str, ...]) -> DataFrame:
 
 def parquet_writer(df: DataFrame, *, compression: str = "snappy",
                    row_group_rows: int = ROW_GROUP_ROWS):
-    return (df.write.mode("append").option("compression", compression)
+    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("compression", compression)
             .option("parquet.block.row.count.limit", str(row_group_rows))
             .option("parquet.writer.version", "PARQUET_2_0"))
 
 
 def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "snappy",
-                 row_group_rows: int = ROW_GROUP_ROWS, lineage: bool = False) -> None:
-    """Append rows of one table.
+                 row_group_rows: int = ROW_GROUP_ROWS, lineage: bool = False,
+                 pass_id: str | None = None) -> str:
+    """Append rows of one table; returns the id its files carry in their path.
 
+    A write that is repeated under the id of an earlier one replaces its files.
     With ``lineage`` the payload digest column ``bronze_sha256`` is stored behind
     the table's own columns; readers of the pinned schema never see it.
     """
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
-    laid = lay_out(with_partition_columns(df.select(*names)), PARTITION_COLUMNS)
-    (parquet_writer(laid, compression=compression, row_group_rows=row_group_rows)
-     .partitionBy(*PARTITION_COLUMNS).parquet(f"{root}/{table}"))
+    pass_id = pass_id or uuid.uuid4().hex
+    laid = lay_out(with_partition_columns(df.select(*names), pass_id), PARTITION_COLUMNS)
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(key)
+    conf.set(key, FILE_BYTES)
+    try:
+        (parquet_writer(laid, compression=compression, row_group_rows=row_group_rows)
+         .partitionBy(*PARTITION_COLUMNS).parquet(f"{root}/{table}"))
+    finally:
+        conf.set(key, before)
+    return pass_id
 
 
 def written_files(spark: SparkSession, root: str, table: str, known: DataFrame, *,
-                  since: float | None = None) -> DataFrame:
+                  pass_id: str | None = None) -> DataFrame:
     """Files below ``root`` the manifest does not list, with rows per payload.
 
-    ``since`` (epoch seconds) lets Spark skip older files before it opens them;
-    the anti-join decides.  One line per file and payload digest.
+    With ``pass_id`` only that write's directories are opened.  One line per file
+    and payload digest.
     """
     from tapeworks.sources.silver import read_silver
     rows = read_silver(spark, root, table, "bronze_sha256").select(
         F.col("_metadata.file_path").alias("target_uri"),
         F.col("_metadata.file_size").alias("bytes_size"),
-        F.col("_metadata.file_modification_time").alias("_modified"),
         "bronze_sha256", *PARTITION_COLUMNS)
-    if since is not None:
-        rows = rows.where(F.col("_modified") >= F.timestamp_seconds(F.lit(since)))
-    exchange, year, month, day, instrument = [F.col(c) for c in PARTITION_COLUMNS]
+    if pass_id is not None:
+        rows = rows.where(F.col("p_pass") == pass_id)
+    exchange, year, month, day, instrument = [F.col(c) for c in DIRECTORY_COLUMNS]
     path = F.concat(F.lit(f"{table}/exchange="), exchange, F.lit("/year="), year,
                     F.lit("/month="), month, F.lit("/day="), day,
                     F.lit("/instrument_type="), instrument)

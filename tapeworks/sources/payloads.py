@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tapeworks.operators.sizing import is_small
-
 # Schemes of manifest rows that never had a payload.
 VIRTUAL_SCHEMES = ("label-only://", "legacy://")
 
@@ -37,9 +35,9 @@ def attach_content(files: DataFrame, payloads: DataFrame) -> DataFrame:
     """Add ``content`` to manifest rows.
 
     ``payloads`` holds the bytes under ``source_uri`` (or ``sha256``).  Virtual
-    rows get empty content; a row whose payload is missing gets null.  A pass
-    takes few files out of many: as long as their keys fit a broadcast, the
-    payload table is filtered where it is read and only hits are shuffled.
+    rows get empty content; a row whose payload is missing gets null.  A payload
+    delivered twice counts once (of different contents under one URI, the first in
+    byte order).  Payloads no file asks for are dropped before they are sorted.
     """
     key = "sha256" if "sha256" in payloads.columns else "source_uri"
     if key == "source_uri":
@@ -48,9 +46,9 @@ def attach_content(files: DataFrame, payloads: DataFrame) -> DataFrame:
     else:
         side = payloads.select(F.col("sha256").alias("_key"), "content")
         joined = files.withColumn("_key", F.col("sha256"))
-    keys = joined.where(~is_virtual(F.col("source_uri"))).select("_key")
-    if is_small(keys):
-        side = side.join(F.broadcast(keys), "_key", "left_semi")
+    keys = joined.where(~is_virtual(F.col("source_uri"))).select("_key").distinct()
+    side = side.join(keys, "_key", "left_semi").groupBy("_key").agg(
+        F.min(F.col("content").cast("binary")).alias("content"))
     return (joined.join(side, "_key", "left").drop("_key")
             .withColumn("content", F.when(is_virtual(F.col("source_uri")), F.lit(b""))
                         .otherwise(F.col("content").cast("binary"))))

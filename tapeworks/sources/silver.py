@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tapeworks.operators.sizing import broadcast_if_small
 from tapeworks.schema import SCHEMAS
-from tapeworks.sinks.parquet import PARTITION_COLUMNS
+from tapeworks.sinks.parquet import DIRECTORY_COLUMNS, PARTITION_COLUMNS
 
 
 def silver_schema(table: str, *extra: str) -> T.StructType:
@@ -29,12 +28,23 @@ def read_silver(spark: SparkSession, root: str, table: str, *extra: str) -> Data
 def read_live(spark: SparkSession, root: str, table: str, silver: DataFrame) -> DataFrame:
     """Rows of the files the manifest lists as written.
 
-    Files not registered yet, compacted or expired are left out.
+    Files not registered yet, compacted or expired are left out.  The manifest's
+    directories are part of the join, so directories without a live file are
+    pruned before they are opened.
     """
-    live = (silver.where((F.col("table") == table) & (F.col("status") == "written"))
-            .select(F.col("target_uri").alias("_file")))
-    rows = read_silver(spark, root, table).withColumn("_file", F.col("_metadata.file_path"))
-    return rows.join(broadcast_if_small(live), "_file", "left_semi").drop("_file")
+    live = silver.where((F.col("table") == table) & (F.col("status") == "written"))
+    return in_files(read_silver(spark, root, table), live)
+
+
+def in_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of a silver table that lie in the manifest's ``files``."""
+    # The names in a manifest path.
+    names = ("exchange", "year", "month", "day", "instrument_type")
+    parts = [F.regexp_extract("partition_path", f"/{n}=([^/]*)", 1).alias(c)
+             for n, c in zip(names, DIRECTORY_COLUMNS, strict=True)]
+    wanted = files.select(F.col("target_uri").alias("_file"), *parts)
+    return (rows.withColumn("_file", F.col("_metadata.file_path"))
+            .join(wanted, ["_file", *DIRECTORY_COLUMNS], "left_semi").drop("_file"))
 
 
 def read_nanosecond_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
