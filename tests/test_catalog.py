@@ -2,7 +2,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tapeworks.catalog import ORACLES, QUERIES
 from tests.compare import database, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -10,7 +11,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_every_check_belongs_to_a_query():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -18,6 +19,6 @@ def test_entry(spark):
                                     "trades", "notional"]
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_its_sql(spark, name):
     assert differences(spark, database(SF_DIR), name, SF_DIR) == []

@@ -3,8 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import Row, functions as F, types as T
 
+from tapeworks.plans.discover import discover, discover_after_mark
+from tapeworks.sources.payloads import attach_content
 from tapeworks.operators import discovery as D, dq, enrich as E, manifest as M, messages as MS
-from tapeworks.operators import metrics as MT, registry as R, sizing, validate as V
+from tapeworks.operators import metrics as MT, registry as R, validate as V
 from tapeworks.schema import SCHEMAS
 from tapeworks.sources.rows import typed_select
 
@@ -26,9 +28,10 @@ MASTER = [("A", "TA", "FA", "equity", "DE", "EUR", 1), ("B", None, "FB", "bond",
           (None, "TB", None, "etf", None, "USD", 3), ("A", "TX", None, "late", None, "CHF", 4)]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
+@pytest.mark.parametrize("limit", ["10m", "-1"])
 def test_first_key_supplies_the_whole_row(spark, limit):
-    """The same rows whether the master is broadcast or joined by shuffle."""
+    """The same rows whether Spark broadcasts the master or joins it by shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     master = spark.createDataFrame(MASTER, "isin string, ticker string, figi string, "
                                    "asset_class string, country string, currency string, row_no int")
     df = trades(spark, {"isin": "A", "seq": 1}, {"isin": "ZZ", "ticker": "TB", "seq": 2},
@@ -36,7 +39,7 @@ def test_first_key_supplies_the_whole_row(spark, limit):
                 {"isin": "", "ticker": "TA", "seq": 6},
                 {"isin": "A", "ticker": "t", "figi": "f", "instrument_type": "i", "currency": "c",
                  "seq": 7})
-    out = E.enrich(df, master, max_rows=limit).orderBy("seq")
+    out = E.enrich(df, master).orderBy("seq")
     got = [(r.isin, r.ticker, r.figi, r.instrument_type, r.currency, r.touched)
            for r in out.collect()]
     assert got == [("A", "TX", None, "late", "CHF", True), ("ZZ", "TB", None, "etf", "USD", True),
@@ -44,10 +47,7 @@ def test_first_key_supplies_the_whole_row(spark, limit):
                    ("B", None, "FB", "bond", "GBP", True), ("", "TA", "FA", "equity", "EUR", True),
                    ("A", "t", "f", "i", "c", False)]
     assert E.enrich_count(out).first() == Row(touched=5, records=7)
-
-
-def test_size_check(spark):
-    assert sizing.is_small(spark.range(5), 5) and not sizing.is_small(spark.range(6), 5)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_adapter_by_path_then_root(spark):
@@ -209,23 +209,82 @@ def test_last_link_first_place(spark):
                                                       ("g.csv", "/a/g.csv", 2)]
 
 
+def links(spark, *rows):
+    return spark.createDataFrame(rows, "text string, link string, href string, type_attr string")
+
+
 def test_one_link_can_serve_several_feeds(spark):
-    df = spark.createDataFrame([("2025_BMEA_posttrade.json", "http://x/a.csv"), ("Pretrade.x", "u")],
-                               "label string, link string")
-    got = sorted((r.label[:4], r.feed) for r in D.match_rules(df).collect())
-    assert got == [("2025", "athex"), ("2025", "berlin"), ("2025", "bme"),
-                   ("Pret", "munich/pretrade")]
+    df = links(spark, ("2025_BMEA_posttrade.json", "http://x/a.csv", "a.csv", ""),
+               ("Pretrade.x", "u", "u", ""), ("post", "u", "u", "text/comma-separated-values"),
+               ("z", "h/d.json.gz?", "d.json.gz?", ""), ("z", "h/d.json.gz", "d.json.gz", ""),
+               ("n", "h/rts13_public_trade_data_CXE_2025-08-01_08.csv", "x", ""),
+               ("", "u", "u", "text/comma-separated-values"))
+    got = sorted((r.feed, r.label) for r in D.match_rules(df).collect())
+    name = "rts13_public_trade_data_CXE_2025-08-01_08.csv"
+    assert got == [("athex", "a.csv"), ("athex", name), ("berlin/posttrade", "post"),
+                   ("bme", "2025_BMEA_posttrade.json"), ("cboe/cxe/hourly", name),
+                   ("deutsche-boerse", "d.json.gz"), ("munich/pretrade", "Pretrade.x")]
+
+
+def test_a_label_seen_anywhere_is_seen(spark):
+    page = "".join(f'<a href="/dl?x={i}">{i}_BMEA_posttrade.json</a>' for i in range(3))
+    pages = spark.createDataFrame([(1, "http://h/p", page)], "page_id long, url string, html string")
+    seen = spark.createDataFrame([("lsx", "1_BMEA_posttrade.json")], "exchange string, label string")
+    assert sorted(r.label[0] for r in discover(pages, seen).collect()) == ["0", "2"]
 
 
 def test_marks(spark):
     df = spark.createDataFrame([("x", "a-2025-04-16T14_21.json.gz"), ("x", "a-2025-04-16T14_20.json.gz"),
-                                ("x", "a.json.gz")], "feed string, link string")
+                                ("x", "a.json.gz"), ("new", "b-2020-01-01T00_00.json.gz")],
+                               "feed string, link string")
     marks = spark.createDataFrame([("x", dt.datetime(2025, 4, 16, 14, 20)), ("y", NOW)],
                                   "feed string, mark timestamp")
-    fresh = D.newer_than_mark(df, marks)
-    assert [r.link for r in fresh.collect()] == ["a-2025-04-16T14_21.json.gz"]
-    assert {r.feed: r.mark for r in D.advance_marks(marks, fresh).collect()} == {
-        "x": dt.datetime(2025, 4, 16, 14, 21), "y": NOW}
+    found = discover_after_mark(df, marks)
+    assert {r.link for r in found.fresh.collect()} == {
+        "a-2025-04-16T14_21.json.gz", "b-2020-01-01T00_00.json.gz"}
+    assert {r.feed: r.mark for r in found.marks.collect()} == {
+        "x": dt.datetime(2025, 4, 16, 14, 21), "y": NOW, "new": dt.datetime(2020, 1, 1)}
+    assert [r.link for r in found.rejects.collect()] == ["a.json.gz"]
+
+
+def test_a_cap_loses_no_link(spark):
+    stamps = ["2025-04-16T14_20", "2025-04-16T14_21", "2025-04-16T14_21", "2025-04-16T14_22"]
+    df = spark.createDataFrame([("x", f"{9 - i}-{s}.json.gz") for i, s in enumerate(stamps)],
+                               "feed string, link string")
+    marks, runs = spark.createDataFrame([], "feed string, mark timestamp"), []
+    while len(runs) < 9:
+        found = discover_after_mark(df, marks, cap=1)
+        runs.append(sorted(r.link for r in found.fresh.collect()))
+        if not runs[-1]:
+            break
+        marks = spark.createDataFrame(found.marks.collect(), marks.schema)
+    assert [len(r) for r in runs] == [1, 2, 1, 0]
+
+
+def test_rows_without_a_key_are_nobodys_copies(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 3), (None, 4)],
+                               "trade_id string, n int")
+    kept = M.first_per_key(df, ["trade_id"], ["n"])
+    assert sorted((r.trade_id or "", r.n) for r in kept.collect()) == [
+        ("", 3), ("", 3), ("", 4), ("a", 1)]
+
+
+def test_a_payload_delivered_twice_is_one(spark):
+    files = spark.createDataFrame([("s1", "/in/a"), ("s2", "label-only://b"), ("s3", "/in/c")],
+                                  "sha256 string, source_uri string")
+    payloads = spark.createDataFrame([("file:///in/a", b"x"), ("/in/a", b"x")],
+                                     "source_uri string, content binary")
+    got = {r.sha256: r.content for r in attach_content(files, payloads).collect()}
+    assert got == {"s1": b"x", "s2": b"", "s3": None}
+
+
+def test_download_counters(spark):
+    landed = spark.createDataFrame([("cboe/bxe", 5), ("cboe", 7)], "exchange string, bytes_size long")
+    failed = spark.createDataFrame([("lsx",)], "exchange string")
+    rows = MT.landing_increments(landed, failed, "http", F.lit(1.0)).collect()
+    assert {(r.name, r.labels["exchange"], r.labels["method"], r.value) for r in rows} == {
+        ("scraper_files_total", "cboe", "http", 2.0), ("scraper_bytes_total", "cboe", "http", 12.0),
+        ("scraper_download_failures_total", "lsx", "http", 1.0)}
 
 
 def test_newest_message_that_matches(spark):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tapeworks.operators.manifest import ManifestTables
 from tapeworks.plans import ingest as I, landing as L
 from tapeworks.sinks import maintenance, parquet as P
-from tapeworks.sinks.snapshots import SnapshotTables
 from tapeworks.sources.rows import typed_select
 from tapeworks.sources.silver import read_live, read_nanosecond_parquet, read_silver
 from tests.test_operators import bronze, trades
@@ -57,12 +56,12 @@ def test_writer_failure_fails_the_batch(spark, tmp_path):
     store = ManifestTables(spark, str(tmp_path / "m"))
     payloads = land(spark, store, ("athex", "a.csv", CSV), ("berlin", "e.csv", ""))
 
-    def broken(tables):
-        raise RuntimeError("boom")
+    def broken(tables, pass_id):
+        raise I.SinkRefused("boom")
 
     I.run_ingest(spark, store, payloads, str(tmp_path / "data"), sink=broken, now=5.0)
     state = {r.label: (r.status, r.error) for r in store.bronze().collect()}
-    assert state == {"a.csv": ("failed", "writer: RuntimeError('boom')"),
+    assert state == {"a.csv": ("failed", "writer: SinkRefused('boom')"),
                      "e.csv": ("ingested", None)}
 
 
@@ -97,7 +96,7 @@ def test_files_are_sorted_in_limited_row_groups(spark, tmp_path):
         "ingest_ts": F.timestamp_seconds(F.lit(1)), "exchange": F.lit("X Y/Z"),
         "isin": F.lit("A"), "data_type": F.lit("post_trade"), "schema_version": F.lit("2.0.0")})
     P.write_silver(df, str(tmp_path), "trades", compression="zstd", row_group_rows=300)
-    files = list(tmp_path.glob("trades/*/*/*/*/*/*.parquet"))
+    files = list(tmp_path.glob("trades/*/*/*/*/*/*/*.parquet"))
     seqs = []
     for path in files:
         assert "p_exchange=X_Y_Z" in str(path) and "p_instrument_type=unknown" in str(path)
@@ -110,7 +109,7 @@ def test_files_are_sorted_in_limited_row_groups(spark, tmp_path):
     assert sorted(seqs) == list(range(1000))
     back = read_silver(spark, str(tmp_path), "trades").first()
     assert back.exchange == "X Y/Z" and back.instrument_type is None
-    plan = P.lay_out(P.with_partition_columns(df), P.PARTITION_COLUMNS)
+    plan = P.lay_out(P.with_partition_columns(df, "p"), P.PARTITION_COLUMNS)
     assert plan._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
 
 
@@ -132,11 +131,14 @@ def test_compaction_and_retention(spark, tmp_path):
                                           F.lit(float(i))))
     assert store.silver().count() == 6
     maintenance.compact(spark, store, root, "trades", min_files=3, now=9.0)
+    maintenance.compact(spark, store, root, "trades", min_files=2, now=9.5, event_no=2)
     by_status = {r.status: (r.n, r.rows) for r in store.silver().groupBy("status").agg(
         F.count("*").alias("n"), F.sum("rows").alias("rows")).collect()}
     assert by_status == {"written": (2, 6), "compacted": (6, 6)}
     live = read_live(spark, root, "trades", store.silver())
     assert sorted(r.seq for r in live.collect()) == [0, 1, 2, 10, 11, 12]
+    plan = live._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_day" in plan.split("LeftSemi")[1].split("\n")[0]
     # Written but not registered: not visible.
     P.write_silver(trades(spark, {"seq": 99}), root, "trades")
     assert read_live(spark, root, "trades", store.silver()).count() == 6
@@ -144,22 +146,30 @@ def test_compaction_and_retention(spark, tmp_path):
     assert sorted(r.seq for r in read_live(spark, root, "trades", store.silver()).collect()) == [0, 1, 2]
 
 
-def test_snapshots(spark, tmp_path):
-    tables = SnapshotTables(spark, str(tmp_path))
-    assert tables.append({"trades": trades(spark, {"seq": 1}).limit(0)}, 1.0) == {}
-    assert tables.append({"trades": trades(spark, {"seq": 1}, {"seq": 2})}, 2.0) == {"trades": 2}
-    assert tables.append({"trades": trades(spark, {"seq": 3})}, 3.0) == {"trades": 1}
-    assert {r.table: r.snapshots for r in tables.stats().collect()} == {
-        "trades": 2, "quotes": 0, "bars": 0}
-    assert tables.read("trades").count() == 3
-    assert tables.read("trades", snapshot_no=1).count() == 2
-    assert tables.read("trades", as_of=2.5).count() == 2
-    # Data without a commit row stay invisible.
-    P.parquet_writer(trades(spark, {"seq": 4}).withColumns(
-        {"p_exchange": F.lit("x"), "p_date": F.lit("d"), "p_instrument_type": F.lit("i")})
-    ).partitionBy("p_exchange", "p_date", "p_instrument_type").parquet(
-        f"{tmp_path}/trades/snapshot_id=dead")
-    assert tables.read("trades").count() == 3
+def test_other_failures_end_the_pass(spark, tmp_path):
+    store = ManifestTables(spark, str(tmp_path / "m"))
+    payloads = land(spark, store, ("athex", "a.csv", CSV))
+
+    def lost(tables, pass_id):
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError, match="executor lost"):
+        I.run_ingest(spark, store, payloads, str(tmp_path / "data"), sink=lost, now=5.0)
+    assert store.bronze().first().status == "downloaded"
+
+
+def test_a_repeated_pass_replaces_its_rows(spark, tmp_path):
+    store, root = ManifestTables(spark, str(tmp_path / "m")), str(tmp_path / "data")
+    payloads = land(spark, store, ("athex", "a.csv", CSV))
+    files = I.attach_content(I.pending(store.bronze()), payloads.unionByName(payloads))
+    for at in (1.0, 2.0):
+        result = I.ingest_batch(spark, files, I.parquet_sink(root), ingest_ts=F.timestamp_seconds(
+            F.lit(1)), pass_id="p")
+        I.register(spark, store, root, result, "p", at)
+    assert read_silver(spark, root, "trades").count() == 2
+    assert read_live(spark, root, "trades", store.silver()).count() == 2
+    assert {r.status: r["count"] for r in store.silver().groupBy("status").count().collect()} == {
+        "written": 1, "expired": 1}
 
 
 def test_nanosecond_import(spark, tmp_path):

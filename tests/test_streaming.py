@@ -45,3 +45,18 @@ def test_dedupe_across_batches(spark, tmp_path):
                         ).awaitTermination()
     got = [r.source_msg_hash for r in spark.read.schema(df.schema).parquet(str(tmp_path / "out")).collect()]
     assert sorted(got) == ["h1", "h2"]
+
+
+def test_rows_without_a_key_pass_through(spark, tmp_path):
+    at = dt.datetime(2025, 8, 1, 9)
+    df = spark.createDataFrame([("h", at), ("h", at), (None, at), (None, at)],
+                               "trade_id string, event_ts timestamp").coalesce(1)
+    df.write.parquet(str(tmp_path / "in"))
+    kept = S.stream_dedupe(S.stream_folder(spark, str(tmp_path / "in"), df.schema), ["trade_id"])
+    S.append_stream(kept, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.schema(df.schema).parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.trade_id or "" for r in got) == ["", "", "h"]
+
+
+def test_a_batch_keeps_its_pass_id():
+    assert S.batch_pass("/a", 3) == S.batch_pass("/a", 3) != S.batch_pass("/b", 3)
