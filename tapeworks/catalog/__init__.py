@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapeworks.catalog import adapters, discovery, manifest, rows, sinks, streams
+from tapeworks.catalog import adapters, discovery, manifest, readers, rows, sinks, streams
 from tapeworks.catalog.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "adapters", "discovery", "manifest", "rows", "sinks", "streams"]
+__all__ = ["ORACLES", "QUERIES", "adapters", "discovery", "manifest", "readers", "rows", "sinks", "streams"]

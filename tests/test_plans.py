@@ -33,7 +33,7 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert {r.label: (r.outcome, r.rows, r.malformed) for r in result.outcomes.collect()} == {
         "a.csv": ("ok", 2, False), "n.csv": ("no_adapter", 0, False),
         "bad.json": ("failed", 0, False), "odd.json": ("empty", 0, True),
-        "e.csv": ("empty", 0, False)}
+        "e.csv": ("empty", 0, True)}
     stats = I.pass_stats(result.outcomes).first()
     assert (stats.seen, stats.parsed_rows, stats.files_ok, stats.files_failed,
             stats.files_skipped_no_adapter) == (5, 2, 3, 1, 1)

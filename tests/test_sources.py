@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.schema import SCHEMAS
@@ -87,6 +88,34 @@ def test_large_files_are_numbered_across_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
 
 
+FILES = {
+    "bad-bytes": b"TradingDateTime,ISIN,Price\n2025-08-01,A\xffB,1\n",
+    "quotes": b'TradingDateTime,ISIN,Price,Note\n2025-08-01,"A,""x""",2,5" pipe\n2025-08-01,B,3,"x"y\n',
+    "blank-first": b"\nTradingDateTime,ISIN,Price\n2025-08-01,A,1\n",
+    "no-time": b"When,ISIN,Price\n2025-08-01,A,1\n",
+}
+
+
+@pytest.mark.parametrize("name", list(FILES))
+def test_large_files_and_payloads_agree(spark, tmp_path, name):
+    (tmp_path / "f.csv").write_bytes(FILES[name])
+    split = rts13.read_rts13_files(spark, str(tmp_path), exchange="X")
+    whole = rts13.read_rts13_files(spark, str(tmp_path), exchange="X", multi_line=True)
+    got = [(r.seq, r.isin, r.trade_price) for r in split.collect()]
+    assert got == [(r.seq, r.isin, r.trade_price) for r in whole.collect()]
+    assert len(got) == {"bad-bytes": 1, "quotes": 2}.get(name, 0)
+    parsed = rts13.parse_rts13(spark.createDataFrame([(bytearray(FILES[name]),)], "content binary"))
+    assert parsed.first().malformed == (name in ("blank-first", "no-time"))
+
+
+def test_a_line_break_inside_quotes(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('TradingDateTime,ISIN,Note\n2025-08-01,A,"one\ntwo"\n2025-08-01,B,\n')
+    with pytest.raises(Exception, match="goes on in the next line"):
+        rts13.read_rts13_files(spark, str(tmp_path), exchange="X").collect()
+    whole = rts13.read_rts13_files(spark, str(tmp_path), exchange="X", multi_line=True)
+    assert [(r.seq, r.isin) for r in whole.collect()] == [(1, "A"), (2, "B")]
+
+
 def bme(spark, *contents):
     parsed = jd.parse_bme(payloads(spark, *contents))
     return parsed, jd.bme_trades(parsed, source_file=F.col("id").cast("string"),
