@@ -33,14 +33,14 @@ class Limits:
     """Largest shares of a document's word characters.
 
     ``top`` bounds the most frequent n-gram of a length, ``repeated`` the
-    characters inside n-grams seen before, ``lines`` lines seen before.
-    Figures as published for web-text filters.
+    characters inside n-grams seen before, ``line_chars`` those of lines seen
+    before.  Figures as published for web-text filters.  All rules count
+    characters: one short line said twice doesn't make a bad document.
     """
 
     top: dict[int, float] = field(default_factory=lambda: {2: 0.20, 3: 0.18, 4: 0.16})
     repeated: dict[int, float] = field(default_factory=lambda: {
         5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
-    lines: float = 0.30
     line_chars: float = 0.20
     min_words: int = 10
     repeat_percent: int = 20
@@ -86,7 +86,6 @@ def measure(column, limits: Limits) -> dict[str, np.ndarray]:
                ^ ((line_doc.astype(np.uint64) + np.uint64(1)) * np.uint64(STEP)))
     _, later = repeats(keys)
     line_chars = lead_sums[line_ends] - lead_sums[line_starts]
-    n_lines = np.bincount(line_doc, minlength=n)
     out["n_dup_lines"] = np.bincount(line_doc[later], minlength=n)
     out["dup_line_chars"] = np.bincount(
         line_doc[later], line_chars[later], minlength=n).astype(np.int64)
@@ -123,8 +122,7 @@ def measure(column, limits: Limits) -> dict[str, np.ndarray]:
     out["base_failed"] = (n_words < limits.min_words) | (
         100 * out["n_repeat_words"] > limits.repeat_percent * n_words)
     out["worst_ngram_share"] = worst
-    bad_lines = (out["n_dup_lines"] > limits.lines * np.maximum(n_lines, 1)) | (
-        out["dup_line_chars"] > limits.line_chars * total)
+    bad_lines = out["dup_line_chars"] > limits.line_chars * total
     out["kept"] = ~(out["base_failed"] | bad_lines | (worst > 1.0))
     return out
 
