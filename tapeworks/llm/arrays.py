@@ -111,35 +111,54 @@ def text_hashes(data, starts, ends, seed: int = 0) -> np.ndarray:
     return span_hashes(prefix_sums(byte_values(seed)[data], base), starts, ends, base)
 
 
+# Values handled at a time where neighbours are all that matters: fits the cache.
+BLOCK = 1 << 15
+
+
 def grams(values: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hash of each run of ``n`` consecutive values (empty if there are fewer)."""
     base = BASES[seed % 2]
-    starts = np.arange(max(0, len(values) - n + 1))
-    return span_hashes(prefix_sums(values, base), starts, starts + n, base)
+    count = max(0, len(values) - n + 1)
+    out = np.empty(count, np.uint64)
+    ahead, back = powers(BLOCK + n, base), powers(BLOCK, pow(base, -1, 1 << 64))
+    salt = np.uint64(n * STEP & 0xFFFFFFFFFFFFFFFF)
+    for a in range(0, count, BLOCK):
+        part = values[a:a + BLOCK + n - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * ahead[:len(part)], out=sums[1:])
+        runs = sums[n:] - sums[:-n]
+        runs *= back[:len(runs)]
+        runs += salt
+        out[a:a + BLOCK] = mix(runs)
+    return out
 
 
 def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost minimum of each run of ``width`` values."""
-    n = len(values)
-    if n < width:
-        return np.zeros(0, np.int64)
-    rows = -(-n // width) + 1
-    top = np.full(rows * width, np.iinfo(np.uint64).max, np.uint64)
-    top[:n] = values
-    grid = top.reshape(rows, width)
-    place = np.arange(rows * width, dtype=np.int64).reshape(rows, width)
-    fore = np.minimum.accumulate(grid, axis=1)
-    falls = np.ones((rows, width), bool)
-    falls[:, 1:] = grid[:, 1:] < fore[:, :-1]
-    fore_at = np.maximum.accumulate(np.where(falls, place, 0), axis=1)
-    back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1]
-    falls[:, :] = True
-    falls[:, :-1] = grid[:, :-1] <= back[:, 1:]
-    far = np.where(falls, place, rows * width)
-    back_at = np.minimum.accumulate(far[:, ::-1], axis=1)[:, ::-1]
-    fore, fore_at, back, back_at = (x.reshape(-1) for x in (fore, fore_at, back, back_at))
-    left, right = slice(0, n - width + 1), slice(width - 1, n)
-    return np.where(back[left] <= fore[right], back_at[left], fore_at[right])
+    """Position of the leftmost minimum of each run of ``width`` values (by their upper halves)."""
+    count = max(0, len(values) - width + 1)
+    out = np.empty(count, np.int64)
+    rows = -(-(BLOCK + width - 1) // width) + 1
+    place = np.arange(rows * width, dtype=np.int32).reshape(rows, width)
+    for a in range(0, count, BLOCK):
+        part = (values[a:a + BLOCK + width - 1] >> np.uint64(32)).astype(np.uint32)
+        n = len(part)
+        grid = np.full(rows * width, 0xFFFFFFFF, np.uint32)
+        grid[:n] = part
+        grid = grid.reshape(rows, width)
+        fore = np.minimum.accumulate(grid, axis=1)
+        falls = np.ones((rows, width), bool)
+        falls[:, 1:] = grid[:, 1:] < fore[:, :-1]
+        fore_at = np.maximum.accumulate(np.where(falls, place, 0), axis=1)
+        back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1]
+        falls[:, :] = True
+        falls[:, :-1] = grid[:, :-1] <= back[:, 1:]
+        far = np.where(falls, place, rows * width)
+        back_at = np.minimum.accumulate(far[:, ::-1], axis=1)[:, ::-1]
+        fore, fore_at, back, back_at = (x.reshape(-1) for x in (fore, fore_at, back, back_at))
+        left, right = slice(0, n - width + 1), slice(width - 1, n)
+        out[a:a + BLOCK] = np.where(back[left] <= fore[right], back_at[left], fore_at[right])
+        out[a:a + BLOCK] += a
+    return out
 
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:

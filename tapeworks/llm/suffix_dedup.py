@@ -10,7 +10,8 @@ earlier (smaller doc_id, or earlier in the same document).
 2. The windows of one seed lie next to each other: they make a segment of at
    most ``2 * width - seed_bytes`` bytes.  Segments are dealt out by seed, so
    equal windows meet in one bucket.  Equal segments of a chunk, and then of a
-   bucket, are combined first: all but the earliest go wholly.
+   bucket, are combined first: all but the earliest go wholly.  (Windows of one
+   segment differ, so a segment that is alone with its seed is done with.)
 3. In a bucket the Burrows-Wheeler transform and the common prefixes of the
    collection of segments grow by one symbol of every segment in each round;
    both live in files that a round reads from start to end and writes anew.
@@ -27,7 +28,6 @@ no part.
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 
 import numpy as np
@@ -46,8 +46,8 @@ SEEDS_PER_SHARD = 1 << 18
 # Text bytes for each bucket; a few hundredths of them are in repeated segments.
 BYTES_PER_BUCKET = 4 << 20
 SPANS = "chunk long, row int, start int, stop int"
-SEGMENTS = ("kind int, chunk long, row int, start int, stop int, doc_id long, bucket int, "
-            "body binary")
+SEGMENTS = ("kind int, chunk long, row int, start int, stop int, doc_id long, seed long, "
+            "bucket int, body binary")
 LAST_ID = np.iinfo(np.int64).max
 
 
@@ -95,21 +95,31 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
     # Symbol 0 is "nothing before".  All 256 bytes at once can't occur in UTF-8.
     recode[codes] = np.arange(1, len(codes) + 1)
     symbols = recode[bodies]
-    with tempfile.TemporaryDirectory() as folder:
-        names = [os.path.join(folder, x) for x in ("bwt", "lcp")]
-        np.zeros(m, np.uint8).tofile(names[0])
-        np.zeros(m, np.uint8).tofile(names[1])
+    with tempfile.TemporaryFile() as bwt_file, tempfile.TemporaryFile() as lcp_file:
+        files, size = (bwt_file, lcp_file), m
+
+        def load() -> list[np.ndarray]:
+            for file in files:
+                file.seek(0)
+            return [np.frombuffer(bytearray(file.read(size)), np.uint8) for file in files]
+
+        def store(*arrays: np.ndarray) -> None:
+            for file, array in zip(files, arrays, strict=True):
+                file.seek(0)
+                file.write(array.data)
+
+        store(np.zeros(m, np.uint8), np.zeros(m, np.uint8))
         place, live = np.arange(m), np.arange(m)
         for done in range(longest):
             going = lengths[live] > done
             place, live = place[going], live[going]
             order = np.argsort(place)
             place, live = place[order], live[order]
-            bwt, lcp = (np.fromfile(n, np.uint8) for n in names)
+            bwt, lcp = load()
             bwt[place] = symbols[offsets[live + 1] - 1 - done]
             # A stable sort by the symbol before is the order of the suffixes one longer.
             ranked = np.argsort(bwt, kind="stable")
-            nothing = int(np.count_nonzero(bwt == 0))
+            nothing = m - len(live)
             rank = np.empty(len(bwt), np.int32)
             rank[ranked] = np.arange(len(bwt), dtype=np.int32)
             at = rank[place]
@@ -140,10 +150,9 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
             ends = new[~has_after] + 1
             next_lcp[ends[ends < size]] = 0
             next_lcp[new] = with_left
-            next_bwt.tofile(names[0])
-            next_lcp.tofile(names[1])
+            store(next_bwt, next_lcp)
             place = new.astype(np.int64)
-        bwt, lcp = (np.fromfile(n, np.uint8) for n in names)
+        bwt, lcp = load()
     # Walk every string through the finished transform: from its empty suffix on,
     # the place of each suffix one symbol longer.
     ranked = np.argsort(bwt, kind="stable")
@@ -172,6 +181,9 @@ def later_windows(bodies, offsets, keys, width):
 
     ``keys`` are the strings' (doc_id, chunk, row, start).
     """
+    if len(offsets) < 2:
+        none = np.zeros(0, np.int64)
+        return none, none, none
     string, offset, head = common_windows(bodies, offsets, width)
     run = np.cumsum(head) - 1
     doc_id, chunk, row, start = (k[string] for k in keys)
@@ -249,7 +261,8 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
             "kind": pa.array(kind), "chunk": pa.array(np.full(len(hot), table["chunk"][0].as_py())),
             "row": pa.array(doc.astype(np.int32)), "start": pa.array(start.astype(np.int32)),
             "stop": pa.array((stop - found.offsets[doc]).astype(np.int32)),
-            "doc_id": pa.array(ids), "bucket": pa.array(bucket),
+            "doc_id": pa.array(ids), "seed": pa.array(found.seed[hot].view(np.int64)),
+            "bucket": pa.array(bucket),
             "body": pa.array(bodies, pa.binary())})
 
     parts = staged(tell(chunks, known, segments, SEGMENTS), "segments")
@@ -265,18 +278,23 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
         # Codes are given in order of appearance: the first of each body is the earliest.
         first = np.ones(len(number), bool)
         first[1:] = number[1:] > np.maximum.accumulate(number)[:-1]
-        bodies, offsets = flat_binary(coded.dictionary)
-        string, begin, end = later_windows(bodies, offsets, [k[first] for k in keys], width)
-        _, chunk, row, start = keys
         gone = ~first
-        at = np.flatnonzero(first)[string]
+        # A seed with one segment left has nothing more to compare.
+        seed = np.asarray(table["seed"])[order][first]
+        _, which, counts = np.unique(seed, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(counts[which] > 1)
+        bodies, offsets = flat_binary(coded.dictionary.take(pa.array(several)))
+        at = np.flatnonzero(first)[several]
+        string, begin, end = later_windows(bodies, offsets, [k[at] for k in keys], width)
+        _, chunk, row, start = keys
+        at = at[string]
         return _spans(np.concatenate((chunk[gone], chunk[at])),
                       np.concatenate((row[gone], row[at])).astype(np.int32),
                       np.concatenate((start[gone], start[at] + begin)).astype(np.int32),
                       np.concatenate((stop[gone], start[at] + end)).astype(np.int32))
 
     spans = parts.where("kind = 1").select(
-        "chunk", "row", "start", "stop", "doc_id", "bucket", "body").groupBy("bucket").applyInArrow(
+        "chunk", "row", "start", "stop", "doc_id", "seed", "bucket", "body").groupBy("bucket").applyInArrow(
         bucket, SPANS)
 
     def cut(table: pa.Table, spans: pa.Table) -> pa.Table:
