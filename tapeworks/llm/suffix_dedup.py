@@ -47,7 +47,7 @@ SEEDS_PER_SHARD = 1 << 18
 BYTES_PER_BUCKET = 4 << 20
 SPANS = "chunk long, row int, start int, stop int"
 SEGMENTS = ("kind int, chunk long, row int, start int, stop int, doc_id long, seed long, "
-            "bucket int, body binary")
+            "behind int, bucket int, body binary")
 LAST_ID = np.iinfo(np.int64).max
 
 
@@ -69,7 +69,8 @@ class Seeds:
         heads = np.flatnonzero(head)
         self.first = at[heads]
         self.last = at[np.append(heads[1:], len(at)) - 1] if len(at) else at
-        self.seed = runs[place[heads]]
+        self.place = place[heads]
+        self.seed = runs[self.place]
         self.doc = np.searchsorted(self.offsets, self.first, "right") - 1
         self.distinct, self.number, counts = np.unique(
             self.seed, return_inverse=True, return_counts=True)
@@ -80,13 +81,20 @@ def earliest_first(doc_id, chunk, row, start) -> np.ndarray:
     return np.lexsort((start, row, chunk, doc_id))
 
 
-def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
-    """(string, offset) of all windows, in suffix order, and where the order's runs of
-    equal windows begin.
+def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int,
+                   behind: np.ndarray | None = None):
+    """(string, offset) of windows, in suffix order, and where the order's runs of
+    equal windows begin; every window found twice is among them.
 
     ``bodies`` holds the strings, none shorter than ``width``, one after the
     other.  Round j inserts the suffix of length j + 1 of each string that has
     one, at the place the transform gives for it.
+
+    With ``behind``, the bytes from each string's seed to its end, equal windows are
+    known to lie at equal distances from their seeds.  Strings then join in such
+    rounds that seeds are met together, and so are equal windows.  A common prefix
+    grows by one symbol a round at most: a string leaves once its longest can't
+    reach ``width`` any more.
     """
     lengths = np.diff(offsets)
     m, longest = len(lengths), int(lengths.max())
@@ -109,12 +117,18 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
                 file.write(array.data)
 
         store(np.zeros(m, np.uint8), np.zeros(m, np.uint8))
-        place, live = np.arange(m), np.arange(m)
-        for done in range(longest):
-            going = lengths[live] > done
-            place, live = place[going], live[going]
+        joins = np.zeros(m, np.int64) if behind is None else behind.max() - behind
+        place = live = np.zeros(0, np.int64)
+        reached = np.zeros(m, np.int64)
+        for turn in range(int((joins + lengths).max())):
+            # The empty suffixes of all strings stay first, in the strings' order.
+            fresh = np.flatnonzero(joins == turn)
+            place, live = np.concatenate((place, fresh)), np.concatenate((live, fresh))
             order = np.argsort(place)
             place, live = place[order], live[order]
+            if not len(live):
+                continue
+            done = turn - joins[live]
             bwt, lcp = load()
             bwt[place] = symbols[offsets[live + 1] - 1 - done]
             # A stable sort by the symbol before is the order of the suffixes one longer.
@@ -151,7 +165,12 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
             next_lcp[ends[ends < size]] = 0
             next_lcp[new] = with_left
             store(next_bwt, next_lcp)
-            place = new.astype(np.int64)
+            reached[live] = done + 1
+            going = lengths[live] > done + 1
+            if behind is not None:
+                common = np.maximum(with_left, np.append(next_lcp, 0)[new + 1]).astype(np.int64)
+                going &= common + lengths[live] - (done + 1) >= width
+            place, live = new[going].astype(np.int64), live[going]
         bwt, lcp = load()
     # Walk every string through the finished transform: from its empty suffix on,
     # the place of each suffix one symbol longer.
@@ -162,7 +181,7 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
     offset = np.zeros(len(bwt), np.int32)
     place, live = np.arange(m), np.arange(m)
     for done in range(1, longest + 1):
-        going = lengths[live] >= done
+        going = reached[live] >= done
         place, live = step[place[going]], live[going]
         if done >= width:
             string[place] = live
@@ -176,15 +195,15 @@ def common_windows(bodies: np.ndarray, offsets: np.ndarray, width: int):
     return string[windows], offset[windows], head
 
 
-def later_windows(bodies, offsets, keys, width):
+def later_windows(bodies, offsets, keys, width, behind):
     """Spans of each string that an earlier equal window makes superfluous.
 
-    ``keys`` are the strings' (doc_id, chunk, row, start).
+    ``keys`` are the strings' (doc_id, chunk, row, start); ``behind`` as above.
     """
     if len(offsets) < 2:
         none = np.zeros(0, np.int64)
         return none, none, none
-    string, offset, head = common_windows(bodies, offsets, width)
+    string, offset, head = common_windows(bodies, offsets, width, behind)
     run = np.cumsum(head) - 1
     doc_id, chunk, row, start = (k[string] for k in keys)
     order = np.lexsort((start + offset, row, chunk, doc_id, run))
@@ -262,6 +281,7 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
             "row": pa.array(doc.astype(np.int32)), "start": pa.array(start.astype(np.int32)),
             "stop": pa.array((stop - found.offsets[doc]).astype(np.int32)),
             "doc_id": pa.array(ids), "seed": pa.array(found.seed[hot].view(np.int64)),
+            "behind": pa.array((stop - found.place[hot]).astype(np.int32)),
             "bucket": pa.array(bucket),
             "body": pa.array(bodies, pa.binary())})
 
@@ -285,7 +305,8 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
         several = np.flatnonzero(counts[which] > 1)
         bodies, offsets = flat_binary(coded.dictionary.take(pa.array(several)))
         at = np.flatnonzero(first)[several]
-        string, begin, end = later_windows(bodies, offsets, [k[at] for k in keys], width)
+        behind = np.asarray(table["behind"])[order][at].astype(np.int64)
+        string, begin, end = later_windows(bodies, offsets, [k[at] for k in keys], width, behind)
         _, chunk, row, start = keys
         at = at[string]
         return _spans(np.concatenate((chunk[gone], chunk[at])),
@@ -294,7 +315,8 @@ def later_bytes(docs: DataFrame, width: int = WIDTH, seed_bytes: int = SEED_BYTE
                       np.concatenate((stop[gone], start[at] + end)).astype(np.int32))
 
     spans = parts.where("kind = 1").select(
-        "chunk", "row", "start", "stop", "doc_id", "seed", "bucket", "body").groupBy("bucket").applyInArrow(
+        "chunk", "row", "start", "stop", "doc_id", "seed", "behind", "bucket",
+        "body").groupBy("bucket").applyInArrow(
         bucket, SPANS)
 
     def cut(table: pa.Table, spans: pa.Table) -> pa.Table:

@@ -80,3 +80,65 @@ def near_duplicates(rows, percent=85):
     for a, (i, _) in enumerate(sets):
         least[root(a)] = min(i, least.get(root(a), i))
     return [(i, len(items), least[root(a)]) for a, (i, items) in enumerate(sets)]
+
+
+def quality_kept(text):
+    """The verdict of the repetition rules."""
+    words = split(text)
+    n, total = len(words), max(1, sum(map(len, words)))
+    grams = {k: [tuple(words[i:i + k]) for i in range(n - k + 1)] for k in range(2, 11)}
+    count = {k: Counter(g) for k, g in grams.items()}
+    inside = set()
+    for i, g in enumerate(grams[5]):
+        if count[5][g] > 1:
+            inside.update(range(i, i + 5))
+    if n < 10 or 100 * len(inside) > 20 * n:
+        return False
+    seen, line_chars = set(), 0
+    for line in (text or "").split("\n"):
+        if split(line):
+            line_chars += sum(map(len, split(line))) if line in seen else 0
+            seen.add(line)
+    if line_chars > 0.20 * total:
+        return False
+    for k, limit in {2: 0.20, 3: 0.18, 4: 0.16}.items():
+        worst = max((c * sum(map(len, g)) for g, c in count[k].items() if c > 1), default=0)
+        if worst / total > limit:
+            return False
+    for k, limit in {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}.items():
+        found, hidden = set(), set()
+        for i, g in enumerate(grams[k]):
+            if g in found:
+                hidden.update(range(i, i + k))
+            found.add(g)
+        if sum(len(words[i]) for i in hidden) / total > limit:
+            return False
+    return True
+
+
+def kept_bytes(rows, width=100):
+    """doc_id -> text without what starts earlier; rows in doc_id order."""
+    seen, out = set(), {}
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - width + 1):
+            piece = data[k:k + width]
+            if piece in seen:
+                gone[k:k + width] = b"\x01" * width
+            seen.add(piece)
+        out[i] = bytes(b for b, g in zip(data, gone) if not g).decode("utf-8", "ignore")
+    return out
+
+
+def pipeline_texts(rows):
+    """What the stages before packing leave: doc_id -> text."""
+    rows = [(i, t) for i, t in rows if quality_kept(t)]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    best = {}
+    for i, t in rows:
+        key = (t or "").translate(lower)
+        best[key] = max(i, best.get(key, i))
+    rows = [(i, t) for i, t in rows if best[(t or "").translate(lower)] == i]
+    parts = {i: c for i, _, c in near_duplicates(rows)}
+    return kept_bytes(sorted((i, t) for i, t in rows if parts[i] == i))
