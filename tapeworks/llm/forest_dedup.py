@@ -160,34 +160,33 @@ def neighbours(region, node, n, sketch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates along one partition's order (place null), and its edge rows.
+    """Candidates along one partition's order (border null), and its edge rows.
 
-    The first and last ``REACH`` rows go on with their place in the whole order,
-    so that neighbours on either side of a partition's border are met as well.
+    The first and last ``REACH`` rows go on under the number of the border they
+    lie at, so that neighbours on either side of it are met as well.
     """
-    def edge(rows: pa.Table, place: int):
+    def edge(rows: pa.Table, border: int):
         n = rows.num_rows
         return pa.table({"a": pa.nulls(n, pa.int64()), "b": pa.nulls(n, pa.int64()),
-                         "place": pa.array(np.arange(place, place + n)),
+                         "border": pa.array(np.full(n, border, np.int32)),
                          **{c: rows[c] for c in ("tree", "label", "node", "n", "sketch")}})
 
-    place, kept = TaskContext.get().partitionId() << 40, None
+    number, kept = TaskContext.get().partitionId(), None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         if kept is None:
-            yield from edge(table.slice(0, REACH), place).to_batches()
-            place += REACH
+            yield from edge(table.slice(0, REACH), number - 1).to_batches()
         table = table if kept is None else pa.concat_tables((kept, table))
         a, b = neighbours(*rows_of(table.combine_chunks().to_batches()[0]))
         n = len(a)
         yield from pa.table({
-            "a": pa.array(a), "b": pa.array(b), "place": pa.nulls(n, pa.int64()),
+            "a": pa.array(a), "b": pa.array(b), "border": pa.nulls(n, pa.int32()),
             "tree": pa.nulls(n, pa.int32()), "label": pa.nulls(n, pa.binary()),
             "node": pa.nulls(n, pa.int64()), "n": pa.nulls(n, pa.int64()),
             "sketch": pa.nulls(n, pa.binary())}).to_batches()
         kept = table.slice(max(0, table.num_rows - REACH))
     if kept is not None:
-        yield from edge(kept, place).to_batches()
+        yield from edge(kept, number).to_batches()
 
 
 def search_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +204,12 @@ def candidates(classes: DataFrame) -> DataFrame:
     order = ["tree", "label", "node"]
     forest = (classes.select("node", "n", "signature").mapInArrow(plant, TREE_ROWS)
               .repartitionByRange(partitions(classes.sparkSession), *order).sortWithinPartitions(*order))
-    found = staged(forest.mapInArrow(search, f"a long, b long, place long, {TREE_ROWS}"), "candidates")
-    # At most 2 * REACH rows of each partition.
-    borders = (found.where("place is not null").select("place", *TREE_ROWS.replace(",", "").split()[::2])
-               .repartition(1).sortWithinPartitions("place").mapInArrow(search_borders, "a long, b long"))
-    return found.where("place is null").select("a", "b").unionByName(borders)
+    found = staged(forest.mapInArrow(search, f"a long, b long, border int, {TREE_ROWS}"), "candidates")
+    # At most 2 * REACH rows of each border.
+    edges = found.where("border is not null").select("border", "tree", "label", "node", "n", "sketch")
+    borders = (edges.repartition("border").sortWithinPartitions("border", *order)
+               .mapInArrow(search_borders, "a long, b long"))
+    return found.where("border is null").select("a", "b").unionByName(borders)
 
 
 class Links:
