@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from tapeworks.llm.arrays import flags, flat, slices
 from tapeworks.llm.staging import identified
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Distinct words a task remembers before it forgets them all.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 NO_RANK = np.int32(1 << 30)
 # How the two public vocabularies split texts.  White space is
 # spelled as the Unicode property, which is what their own library goes by.

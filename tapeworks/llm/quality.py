@@ -23,7 +23,7 @@ from tapeworks.llm.arrays import (STEP, covered, flags, flat, grams, mix, repeat
                                   text_hashes, totals, words)
 from tapeworks.llm.staging import identified
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # The symbols of the base figures.
 SYMBOLS = b"#*$%&|<>"
 
