@@ -14,6 +14,9 @@ from tapeworks.llm.queries import table, vocabulary
 from tapeworks.llm.staging import staged
 from tapeworks.session import configure
 
+# Fixed value: from this Jaccard similarity of five-word shingles a document is a near copy.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words, lines and n-grams don't repeat too much."""
@@ -28,9 +31,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate component."""
+    """The first document of each near-duplicate component, at a similarity of 0.8."""
     configure(spark)
-    return forest_dedup.kept_documents(docs)
+    return forest_dedup.kept_documents(docs, NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,9 +15,11 @@ A document's set holds the distinct runs of five of its words, lower-cased.
 4. A cluster of more than ``CLUSTER`` classes is taken apart by region, with as
    many hashes of each tree as that region needs to come below the limit.
 
-Links are confirmed on full sets with whole numbers.  Of a pair that reaches the
-threshold, all trees separate the two at depth two with a probability of about
-4e-5 at 0.85, and less above.
+Links are confirmed on full sets with whole numbers.  The threshold is an argument,
+85 percent unless another is asked for, and not below ``LEAST_PERCENT``.  All trees
+separate a pair at the threshold at depth two with a probability of about 8e-8 at
+0.80 and 1e-9 at 0.85; the sketch that every tree asks finds it implausible with at
+most ``MISS``.
 
 Texts without words, null texts among them, have empty sets and link with
 nothing.  component_id is the smallest doc_id reachable.  Rows that repeat a
@@ -28,6 +30,7 @@ empty result; other columns play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,11 +45,11 @@ from tapeworks.llm.lm_mixing import upper_table
 from tapeworks.llm.staging import (ask, blob, chunked, components, join_by_hot_key, ordered,
                                    partitions, staged, tell)
 
-SHINGLE, PERCENT = 5, 85
-TREES, DEPTH, LEAST_DEPTH = 8, 8, 2
+SHINGLE, PERCENT, LEAST_PERCENT = 5, 85, 80
+TREES, DEPTH, LEAST_DEPTH = 16, 4, 2
 HASHES = TREES * DEPTH
-# The estimate's standard error at 0.85 is 0.045.
-PLAUSIBLE = 0.66
+# Probability that the sketches of a pair at the threshold look implausible.
+MISS = 1e-6
 CLUSTER = 4096
 # How far a class looks for a plausible neighbour inside its region.
 REACH = 256
@@ -134,15 +137,22 @@ def rows_of(batch):
     return region, np.asarray(batch["node"]), np.asarray(batch["n"]), sketch
 
 
-def plausible(one, two, n_one, n_two) -> np.ndarray:
-    close = 100 * np.minimum(n_one, n_two) >= PERCENT * np.maximum(n_one, n_two)
+def least_alike(percent: int) -> int:
+    """Equal hashes that a pair at the threshold falls short of with at most ``MISS``."""
+    p, k, below = percent / 100, 0, 0.0
+    while (below := below + math.comb(HASHES, k) * p ** k * (1 - p) ** (HASHES - k)) <= MISS:
+        k += 1
+    return k
+
+
+def plausible(one, two, n_one, n_two, percent: int) -> np.ndarray:
+    close = 100 * np.minimum(n_one, n_two) >= percent * np.maximum(n_one, n_two)
     at = np.flatnonzero(close)
-    alike = (one[at] == two[at]).mean(axis=1)
-    close[at] = alike >= PLAUSIBLE
+    close[at] = np.count_nonzero(one[at] == two[at], axis=1) >= least_alike(percent)
     return close
 
 
-def neighbours(region, node, n, sketch) -> tuple[np.ndarray, np.ndarray]:
+def neighbours(region, node, n, sketch, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The nearest plausible row after each row of its region."""
     open_rows, pairs = np.arange(len(node)), []
     for step in range(1, REACH + 1):
@@ -151,7 +161,7 @@ def neighbours(region, node, n, sketch) -> tuple[np.ndarray, np.ndarray]:
         if not len(open_rows):
             break
         other = open_rows + step
-        hit = plausible(sketch[open_rows], sketch[other], n[open_rows], n[other])
+        hit = plausible(sketch[open_rows], sketch[other], n[open_rows], n[other], percent)
         pairs.append((node[open_rows[hit]], node[other[hit]]))
         open_rows = open_rows[~hit]
     if not pairs:
@@ -159,7 +169,7 @@ def neighbours(region, node, n, sketch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
-def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Candidates along one partition's order (border null), and its edge rows.
 
     The first and last ``REACH`` rows go on under the number of the border they
@@ -177,7 +187,7 @@ def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if kept is None:
             yield from edge(table.slice(0, REACH), number - 1).to_batches()
         table = table if kept is None else pa.concat_tables((kept, table))
-        a, b = neighbours(*rows_of(table.combine_chunks().to_batches()[0]))
+        a, b = neighbours(*rows_of(table.combine_chunks().to_batches()[0]), percent)
         n = len(a)
         yield from pa.table({
             "a": pa.array(a), "b": pa.array(b), "border": pa.nulls(n, pa.int32()),
@@ -189,26 +199,26 @@ def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from edge(kept, number).to_batches()
 
 
-def search_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def search_borders(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     kept = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = table if kept is None else pa.concat_tables((kept, table))
-        a, b = neighbours(*rows_of(table.combine_chunks().to_batches()[0]))
+        a, b = neighbours(*rows_of(table.combine_chunks().to_batches()[0]), percent)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
         kept = table.slice(max(0, table.num_rows - REACH))
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that lie next to each other in some tree and look similar."""
     order = ["tree", "label", "node"]
     forest = (classes.select("node", "n", "signature").mapInArrow(plant, TREE_ROWS)
               .repartitionByRange(partitions(classes.sparkSession), *order).sortWithinPartitions(*order))
-    found = staged(forest.mapInArrow(search, f"a long, b long, border int, {TREE_ROWS}"), "candidates")
+    found = staged(forest.mapInArrow(lambda b: search(b, percent), f"a long, b long, border int, {TREE_ROWS}"), "candidates")
     # At most 2 * REACH rows of each border.
     edges = found.where("border is not null").select("border", "tree", "label", "node", "n", "sketch")
     borders = (edges.repartition("border").sortWithinPartitions("border", *order)
-               .mapInArrow(search_borders, "a long, b long"))
+               .mapInArrow(lambda b: search_borders(b, percent), "a long, b long"))
     return found.where("border is null").select("a", "b").unionByName(borders)
 
 
@@ -263,8 +273,8 @@ class Links:
 
 def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """n_shingles, component_id and kept of every row."""
-    if percent != PERCENT:
-        raise ValueError("the forest is tuned for 85 percent")
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"the forest is tuned for {LEAST_PERCENT} to 100 percent")
     chunks = chunked(docs)
     signed = staged(ask(chunks, sign, SIGNED), "signed")
     some = signed.where("set_hash is not null and doc_id is not null")
@@ -274,7 +284,7 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             F.count(F.lit(1)).alias("size"))
         .select("set_hash", "size", F.col("one.doc_id").alias("node"), "one.chunk", "one.row",
                 F.col("one.n_shingles").alias("n"), "one.signature"), "classes")
-    found = components(candidates(classes), "clusters")
+    found = components(candidates(classes, percent), "clusters")
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     grouped = staged(
         classes.join(found, "node").join(sizes, "component")
@@ -353,12 +363,12 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
+def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with all its columns.
 
     Rows that repeat a doc_id stay or go together.
     """
-    found = staged(clusters(docs), "kept")
+    found = staged(clusters(docs, percent), "kept")
     stays = found.where("kept").select("doc_id")
     goes = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     goes = goes.join(stays, F.col("_gone") == F.col("doc_id"), "left_anti")

@@ -54,3 +54,21 @@ def test_stages_and_run(spark, tmp_path):
 def test_empty_table(spark, none, tmp_path):
     none.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_from_80_percent(spark, tmp_path):
+    """Pairs at 0.75 to 0.95 against brute force; some lie between 0.80 and 0.85."""
+    rows = []
+    for i in range(40):
+        base = prose(2000 + i, 200).split()
+        other = list(base)
+        for k in range(1 + i % 8):
+            other[10 + 20 * k] = f"altered{k}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    want = {80: set(), 85: set()}
+    for percent, kept in want.items():
+        kept.update(i for i, _, c in brute.near_duplicates(rows, percent) if i == c)
+    assert len(want[80]) < len(want[85]) < len(rows)
+    docs = spark.createDataFrame([(i, t, None, "c", 1) for i, t in rows], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == want[80]
