@@ -12,8 +12,10 @@ A document's set holds the distinct runs of five of its words, lower-cased.
    text, to its cluster once, where similarities are exact: a prefix index over
    the rarest shingles finds every pair that can reach the threshold, and pairs
    already in one component aren't compared.
-4. A cluster of more than ``CLUSTER`` classes is taken apart by region, with as
-   many hashes of each tree as that region needs to come below the limit.
+4. A cluster of more than ``CLUSTER`` classes is first taken apart by region of
+   ``LARGE_TREES`` trees, with as many hashes as a region needs to come below the
+   limit.  Then any two of its classes that those links haven't joined meet in
+   blocks of bounded size, so that each pair of a large cluster is settled exactly.
 
 Links are confirmed on full sets with whole numbers.  The threshold is an argument,
 85 percent unless another is asked for, and not below ``LEAST_PERCENT``.  All trees
@@ -51,6 +53,8 @@ HASHES = TREES * DEPTH
 # Probability that the sketches of a pair at the threshold look implausible.
 MISS = 1e-6
 CLUSTER = 4096
+# Trees that take large clusters apart before the rest of their classes meet.
+LARGE_TREES = 4
 # How far a class looks for a plausible neighbour inside its region.
 REACH = 256
 SIGNED = ("chunk long, row int, doc_id long, n_shingles long, set_hash binary, signature binary")
@@ -225,7 +229,8 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 class Links:
     """Union of sets by exact similarity inside one cluster."""
 
-    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, nodes: np.ndarray, percent: int):
+    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, nodes: np.ndarray, percent: int,
+                 kin: np.ndarray | None = None):
         self.nodes, self.percent = nodes, percent
         _, number, counts = np.unique(hashes, return_inverse=True, return_counts=True)
         # Rare shingles first: each set is sorted by how many sets have a shingle.
@@ -235,6 +240,12 @@ class Links:
         self.sets = [np.sort(ranked[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         self.shared_from = int(np.count_nonzero(counts == 1))
         self.parent = list(range(len(nodes)))
+        if kin is not None:
+            # What is known to be one component starts as one, under its smallest node.
+            order = np.lexsort((nodes, kin))
+            _, first, which = np.unique(kin[order], return_index=True, return_inverse=True)
+            for i, head in zip(order.tolist(), order[first[which]].tolist(), strict=True):
+                self.parent[i] = head
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -271,6 +282,43 @@ class Links:
         return np.array([self.nodes[self.root(i)] for i in range(len(self.nodes))])
 
 
+def meetings(rows: DataFrame, key: list[str], size: int) -> DataFrame:
+    """Rows with a ``meeting``: any two of one key that are not of one ``kin`` share one.
+
+    A kin of more than ``size`` rows has blocks of its own, which needn't meet each
+    other; the smaller ones of a key share blocks.  A meeting is two blocks, and keys
+    of a single kin have none.
+    """
+    kins = staged(rows.groupBy(*key, "kin").agg(F.count(F.lit(1)).alias("members")), "kins")
+    large = F.col("members") > size
+    keys = kins.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("kins"),
+        F.sum(F.when(large, 0).otherwise(F.col("members"))).alias("rest")).where("kins > 1").drop("kins")
+    kins = staged(kins.join(keys, key), "kins")
+
+    def name(owner, part):
+        return F.concat(F.coalesce(owner.cast("string"), F.lit("")), F.lit(":"), part.cast("string"))
+
+    def parts(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / size) - 1)).alias("part")
+
+    blocks = kins.where(large).select(*key, F.col("kin").alias("owner"), parts("members")).unionByName(
+        kins.where(~large).select(*key, "rest").distinct()
+        .select(*key, F.lit(None).cast("long").alias("owner"), parts("rest")))
+    blocks = blocks.groupBy(*key).agg(F.collect_list(
+        F.struct("owner", name(F.col("owner"), F.col("part")).alias("name"))).alias("blocks"))
+    part = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / size))).otherwise(
+        F.pmod(F.xxhash64("kin"), F.ceil(F.col("rest") / size)))
+    dealt = rows.join(kins, [*key, "kin"]).withColumn("owner", F.when(large, F.col("kin"))).withColumn(
+        "name", name(F.col("owner"), part))
+    others = F.when(F.size("blocks") == 1, F.col("blocks")).otherwise(F.filter("blocks", lambda b: (
+        b["name"] != F.col("name")) & ~F.coalesce(b["owner"] == F.col("owner"), F.lit(False))))
+    met = staged(dealt, "dealt").join(blocks, key).withColumn("other", F.explode(others))
+    return met.withColumn("meeting", F.concat(
+        F.least("name", "other.name"), F.lit("|"), F.greatest("name", "other.name"))).select(
+        *rows.columns, "meeting")
+
+
 def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """n_shingles, component_id and kept of every row."""
     if not LEAST_PERCENT <= percent <= 100:
@@ -297,7 +345,7 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             for r in batch.to_pylist():
                 whole = r["members"] <= CLUSTER
                 hashes = np.frombuffer(r["signature"], np.uint32)
-                for tree in range(1 if whole else TREES):
+                for tree in range(1 if whole else LARGE_TREES):
                     label = b"" if whole else blob(hashes[tree * DEPTH:(tree + 1) * DEPTH].astype(">u4"))
                     for k, v in zip(out, (r["chunk"], r["row"], r["node"], r["component"], tree, label),
                                     strict=True):
@@ -343,12 +391,22 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def confirm(table: pa.Table) -> pa.Table:
         hashes, offsets = shingle_sets(table["text"])
         nodes = np.asarray(table["node"])
-        roots = Links(hashes, offsets, nodes, percent).roots()
+        kin = np.asarray(table["kin"]) if "kin" in table.column_names else None
+        roots = Links(hashes, offsets, nodes, percent, kin).roots()
         other = roots != nodes
         return pa.table({"a": pa.array(nodes[other]), "b": pa.array(roots[other])})
 
     joined = staged(texts.groupBy("component", "tree", "group").applyInArrow(confirm, "a long, b long"),
                     "links")
+    if large:
+        # What the regions haven't joined: all of it meets, whatever its number.
+        known = components(joined, "regions").withColumnRenamed("component", "kin")
+        rest = (grouped.where(F.col("members") > CLUSTER).join(known, "node", "left")
+                .select("chunk", "row", "node", "component", F.coalesce("kin", "node").alias("kin")))
+        met = tell(chunks, meetings(staged(rest, "rest"), ["component"], CLUSTER // 2), fetch,
+                   "row int, node long, component long, kin long, meeting string, text string")
+        joined = joined.unionByName(staged(
+            met.groupBy("component", "meeting").applyInArrow(confirm, "a long, b long"), "met"))
     # Whole clusters give stars already; only regions of large ones overlap.
     final = components(joined, "components") if large else joined.select(
         F.col("a").alias("node"), F.col("b").alias("component"))

@@ -301,6 +301,40 @@ def test_large_clusters_come_apart_by_region(spark, monkeypatch):
         brute.near_duplicates(rows), key=repr)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_all_pairs_of_large_clusters_meet(spark, monkeypatch, percent):
+    """One template whose signatures tell nothing apart, in far more classes than a group takes."""
+    monkeypatch.setattr(forest_dedup, "CLUSTER", 4)
+    monkeypatch.setattr(forest_dedup, "signatures", lambda hashes, offsets: np.zeros(
+        (np.count_nonzero(np.diff(offsets)), forest_dedup.HASHES), np.uint32))
+    base, rows = prose(700, 300).split(), []
+    for i in range(40):
+        words = list(base)
+        for k in range(8):
+            words[10 + 35 * k + i % 20] = f"own{i % 20}-{k}"
+        if i >= 20:
+            for k in range(3):
+                words[20 + 90 * k] = f"second{i}-{k}"
+        rows.append((i, " ".join(words)))
+    want = sorted(brute.near_duplicates(rows, percent), key=repr)
+    assert 10 < len({c for _, _, c in want}) < 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(forest_dedup.clusters(docs, percent), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_meetings_cover_every_pair_of_different_kin(spark):
+    rows = [(k, n, n % 3 if n < 60 else n) for k in (1, 2) for n in range(80)] + [(3, n, 0) for n in range(30)]
+    met = forest_dedup.meetings(spark.createDataFrame(rows, "key long, node long, kin long"), ["key"], 8)
+    groups = {}
+    for r in met.collect():
+        groups.setdefault((r.key, r.meeting), []).append((r.node, r.kin))
+    assert {k for k, _ in groups} == {1, 2}
+    for key in (1, 2):
+        seen = {(a, b) for (k, _), g in groups.items() if k == key for a, _ in g for b, _ in g}
+        assert all((a, b) in seen for k, a, x in rows if k == key
+                   for j, b, y in rows if j == key and x != y)
+
+
 def test_exact_dedup(docs, rows):
     found = {r.doc_id: r for r in exact_dedup.group(docs).collect()}
     groups = defaultdict(list)
