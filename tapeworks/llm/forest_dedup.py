@@ -4,10 +4,10 @@ A document's set holds the distinct runs of five of its words, lower-cased.
 
 1. Documents with equal sets are one class from the start.
 2. Each of ``TREES`` trees sorts all classes by its own part of the signature.
-   Classes that share at least the first two of a tree's hashes form a region;
-   in the sorted order the longest common prefixes are neighbours.  Every class
-   names its nearest neighbour in each tree whose estimated similarity is
-   plausible, looking past implausible ones.
+   Classes that share at least the first two of a tree's hashes form a region.
+   All classes of a region are compared by estimated similarity, unless they are
+   joined already.  In a region of more than ``REACH`` + 1 classes, neighbours in
+   the sorted order come first; any two that are still apart then meet in blocks.
 3. Classes joined by such candidates form clusters.  Each class goes, with its
    text, to its cluster once, where similarities are exact: a prefix index over
    the rarest shingles finds every pair that can reach the threshold, and pairs
@@ -55,8 +55,8 @@ MISS = 1e-6
 CLUSTER = 4096
 # Trees that take large clusters apart before the rest of their classes meet.
 LARGE_TREES = 4
-# How far a class looks for a plausible neighbour inside its region.
-REACH = 256
+# How far a class looks along the order inside its region; larger regions go on in blocks.
+REACH, BLOCK_ROWS = 256, 2048
 SIGNED = ("chunk long, row int, doc_id long, n_shingles long, set_hash binary, signature binary")
 TREE_ROWS = "tree int, label binary, node long, n long, sketch binary"
 
@@ -152,27 +152,62 @@ def least_alike(percent: int) -> int:
 def plausible(one, two, n_one, n_two, percent: int) -> np.ndarray:
     close = 100 * np.minimum(n_one, n_two) >= percent * np.maximum(n_one, n_two)
     at = np.flatnonzero(close)
-    close[at] = np.count_nonzero(one[at] == two[at], axis=1) >= least_alike(percent)
+    one = one[at] if len(one) > 1 else one
+    close[at] = np.count_nonzero(one == two[at], axis=1) >= least_alike(percent)
     return close
 
 
 def neighbours(region, node, n, sketch, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest plausible row after each row of its region."""
-    open_rows, pairs = np.arange(len(node)), []
+    """Links that join each row to the plausible ones of the next ``REACH`` of its region."""
+    open_rows, label, pairs = np.arange(len(node)), np.arange(len(node)), []
     for step in range(1, REACH + 1):
         open_rows = open_rows[open_rows + step < len(node)]
         open_rows = open_rows[region[open_rows] == region[open_rows + step]]
         if not len(open_rows):
             break
-        other = open_rows + step
-        hit = plausible(sketch[open_rows], sketch[other], n[open_rows], n[other], percent)
-        pairs.append((node[open_rows[hit]], node[other[hit]]))
-        open_rows = open_rows[~hit]
+        apart = open_rows[label[open_rows] != label[open_rows + step]]
+        hit = plausible(sketch[apart], sketch[apart + step], n[apart], n[apart + step], percent)
+        one = apart[hit]
+        pairs.append((node[one], node[one + step]))
+        label = merged(label, one, one + step)
     if not pairs:
         return node[:0], node[:0]
     return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
+def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (the least row of each set) after the sets of rows ``a`` and ``b`` are joined."""
+    while len(a):
+        one, two = label[a], label[b]
+        to = np.arange(len(label))
+        np.minimum.at(to, np.maximum(one, two), np.minimum(one, two))
+        while ((up := to[to]) != to).any():
+            to = up
+        label = to[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label
+
+
+def compare(rows: pa.Table, percent: int) -> pa.Table:
+    """Links between all plausible rows of a meeting that aren't of one kin."""
+    node, n = np.asarray(rows["node"]), np.asarray(rows["n"])
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, HASHES)
+    _, label = np.unique(np.asarray(rows["kin"]), return_inverse=True)
+    one, two = [], []
+    for i in range(len(node)):
+        other = np.flatnonzero(label[i + 1:] != label[i]) + i + 1
+        if not len(other):
+            continue
+        other = other[plausible(sketch[i:i + 1], sketch[other], n[i], n[other], percent)]
+        kins, first = np.unique(label[other], return_index=True)
+        if len(kins):
+            one += [node[i]] * len(kins)
+            two += node[other[first]].tolist()
+            label[np.isin(label, kins)] = label[i]
+    return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
+
+
 def search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Candidates along one partition's order (border null), and its edge rows.
 
@@ -214,16 +249,37 @@ def search_borders(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that lie next to each other in some tree and look similar."""
+    """Pairs that join all classes which share a region of some tree and look similar."""
+    spark, region = classes.sparkSession, ["tree", "prefix"]
+    prefix = F.substring("label", 1, 2 * LEAST_DEPTH).alias("prefix")
+    forest = classes.select("node", "n", "signature").mapInArrow(plant, TREE_ROWS).select("*", prefix)
+    crowded = staged(forest.groupBy(region).agg(F.count(F.lit(1)).alias("crowd"))
+                     .where(F.col("crowd") > REACH + 1).select(region), "crowded")
+    hot = crowded.limit(1).count() > 0
+    # Each is more than REACH rows, so the table of crowded regions is small.
+    calm = forest.join(F.broadcast(crowded), region, "left_anti") if hot else forest
+    pairs = staged(
+        calm.repartition(partitions(spark), *region).sortWithinPartitions(*region).drop("prefix")
+        .mapInArrow(lambda b: search_borders(b, percent), "a long, b long"), "candidates")
+    if not hot:
+        return pairs
     order = ["tree", "label", "node"]
-    forest = (classes.select("node", "n", "signature").mapInArrow(plant, TREE_ROWS)
-              .repartitionByRange(partitions(classes.sparkSession), *order).sortWithinPartitions(*order))
-    found = staged(forest.mapInArrow(lambda b: search(b, percent), f"a long, b long, border int, {TREE_ROWS}"), "candidates")
+    busy = staged(forest.join(F.broadcast(crowded), region, "left_semi"), "crowds")
+    found = staged(
+        busy.drop("prefix").repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+        .mapInArrow(lambda b: search(b, percent), f"a long, b long, border int, {TREE_ROWS}"), "candidates")
     # At most 2 * REACH rows of each border.
     edges = found.where("border is not null").select("border", "tree", "label", "node", "n", "sketch")
     borders = (edges.repartition("border").sortWithinPartitions("border", *order)
-               .mapInArrow(lambda b: search_borders(b, percent), "a long, b long"))
-    return found.where("border is null").select("a", "b").unionByName(borders)
+               .mapInArrow(lambda b: search_borders(b, percent), "a long, b long").where("a <> b"))
+    pairs = staged(pairs.unionByName(found.where("border is null").select("a", "b"))
+                   .unionByName(borders), "candidates")
+    known = components(pairs, "kin").withColumnRenamed("component", "kin")
+    rows = busy.join(known, "node", "left").select(
+        *region, "node", "n", "sketch", F.coalesce("kin", "node").alias("kin"))
+    met = meetings(staged(rows, "crowds"), region, BLOCK_ROWS)
+    return pairs.unionByName(staged(met.groupBy(*region, "meeting").applyInArrow(
+        lambda rows: compare(rows, percent), "a long, b long"), "candidates"))
 
 
 class Links:

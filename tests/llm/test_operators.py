@@ -322,6 +322,17 @@ def test_all_pairs_of_large_clusters_meet(spark, monkeypatch, percent):
     assert collected(forest_dedup.clusters(docs, percent), "doc_id", "n_shingles", "component_id") == want
 
 
+def test_candidates_in_crowded_regions(spark):
+    """600 implausible classes of one region stand between two that share 49 of 64 hashes."""
+    values = np.random.default_rng(1).integers(0, 1 << 32, (602, forest_dedup.HASHES), np.uint32)
+    values[:, :forest_dedup.DEPTH] = values[0, :forest_dedup.DEPTH]
+    values[601] = values[0]
+    values[601, forest_dedup.DEPTH::forest_dedup.DEPTH] ^= 0xFFFFFFFF
+    classes = spark.createDataFrame([(i, 100, bytearray(v.tobytes())) for i, v in enumerate(values)],
+                                    "node long, n long, signature binary")
+    assert {frozenset(r) for r in forest_dedup.candidates(classes, 85).collect()} == {frozenset((0, 601))}
+
+
 def test_meetings_cover_every_pair_of_different_kin(spark):
     rows = [(k, n, n % 3 if n < 60 else n) for k in (1, 2) for n in range(80)] + [(3, n, 0) for n in range(30)]
     met = forest_dedup.meetings(spark.createDataFrame(rows, "key long, node long, kin long"), ["key"], 8)
