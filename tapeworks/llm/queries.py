@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, packing, quality,
+from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, merkle, packing, quality,
                            substring_dedup, suffix_dedup, toxicity, url_filters)
 from tapeworks.session import configure
 
@@ -125,3 +125,92 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_retrieval_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+# unsigned crc32 of a text of ASCII characters, bit by bit.
+def _crc32_sql(text: str) -> str:
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform("
+            f"range(1, length({text}) + 1), lambda i: ord(substr({text}, i::bigint, 1))::bigint)), "
+            f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), "
+            f"lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))))")
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ", ".join(f"coalesce(strlen({f})::varchar || ':' || {f}, '-')" for f in (
+        "doc_id::varchar", "source", "lang", "n_chars::varchar", text))
+    return f"sha256(concat({fields}))"
+
+
+def _tree_sql(name: str, heights: int) -> str:
+    """Tables name_0 .. name_heights (tree, rank, node), and name_top (tree, node)."""
+    steps = [f"""
+        {name}_{h + 1} as (
+            select tree, rank // 16 as rank,
+                   case when max(n) = 1 then any_value(node)
+                        else sha256(string_agg(node, '' order by rank)) end as node,
+                   (max(n) + 15) // 16 as n
+            from {name}_{h} group by tree, rank // 16)""" for h in range(heights)]
+    return ",".join([*steps, f"{name}_top as (select tree, node from {name}_{heights})"])
+
+
+def _merkle_sql(leaf_heights: int = 5, source_heights: int = 3) -> str:
+    """Height by height; enough heights for 16 ** 5 rows of a source and 16 ** 3 sources."""
+    tables, previous = [], "start"
+    for name, heights, own, at in (("leaf", leaf_heights, "p.tree", "p.rank"),
+                                   ("source", source_heights, "''", "p.ordinal")):
+        for h in range(heights):
+            tables.append(f"""
+                {name}_path_{h} as (
+                    select p.* exclude (proof, node), p.proof || s.lefts || s.rights as proof,
+                           case when s.n = 1 then p.node
+                                else sha256(s.lefts || p.node || s.rights) end as node
+                    from {previous} p join (
+                        select tree, rank, n,
+                               coalesce(string_agg(node, '') over (w rows between unbounded preceding
+                                        and 1 preceding), '') as lefts,
+                               coalesce(string_agg(node, '') over (w rows between 1 following
+                                        and unbounded following), '') as rights
+                        from {name}_{h} window w as (partition by tree, rank // 16 order by rank)) s
+                    on s.tree = {own} and s.rank = {at} // {16 ** h})""")
+            previous = f"{name}_path_{h}"
+    return f"""
+        with rows as (
+            select doc_id, coalesce('s' || source, '') as tree, {_leaf_sql("text")} as leaf,
+                   case when {_crc32_sql("doc_id::varchar")} % 5 = 0
+                        then {_leaf_sql(f"translate(text, '{exact_dedup.UPPER}', '{exact_dedup.LOWER}')")}
+                   end as tampered
+            from documents),
+        numbered as (
+            select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as rank,
+                   count(*) over (partition by tree) as n
+            from rows),
+        leaf_0 as (select tree, rank, leaf as node, n from numbered),
+        {_tree_sql("leaf", leaf_heights)},
+        source_0 as (
+            select '' as tree, row_number() over (order by tree) - 1 as rank, node,
+                   count(*) over () as n, tree as source
+            from leaf_top),
+        {_tree_sql("source", source_heights)},
+        start as (
+            select d.*, s.rank as ordinal, s.node as subroot, r.node as root, '' as proof,
+                   coalesce(d.tampered, d.leaf) as node
+            from numbered d join source_0 s on s.source = d.tree, source_top r),
+        {",".join(tables)}
+        select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, node as folded_root,
+               node = root as verified
+        from {previous}"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Null ids have no decimal form: such rows aren't tampered with.
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(chosen, merkle.leaf(text=F.translate(F.col("text"), exact_dedup.UPPER, exact_dedup.LOWER)))
+    store = merkle.build(merkle.leaves(docs, tampered=tampered))
+    found = merkle.proofs(store, store.leaves)
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root",
+                        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                        root.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
