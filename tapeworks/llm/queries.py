@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, merkle, packing, quality,
-                           substring_dedup, suffix_dedup, toxicity, url_filters)
+                           spelling, substring_dedup, suffix_dedup, toxicity, url_filters)
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,10 +127,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-# unsigned crc32 of a text of ASCII characters, bit by bit.
+# Unsigned crc32 of a text's UTF-8 bytes, bit by bit.
 def _crc32_sql(text: str) -> str:
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i - 1)::bigint, 2))::bigint"
     return (f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform("
-            f"range(1, length({text}) + 1), lambda i: ord(substr({text}, i::bigint, 1))::bigint)), "
+            f"range(1, strlen({text}) + 1), lambda i: {byte})), "
             f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), "
             f"lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))))")
 
@@ -214,3 +215,48 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
                         root.alias("folded_root")).withColumn(
         "verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_gram_variants", f"""
+    with recursive runs as (
+        select coalesce(doc_id::varchar, '') || ':' || run as named, run, count(*) as times from (
+            select doc_id, unnest(regexp_extract_all(translate(
+                       text, '{spelling.UPPER}', '{spelling.LOWER}'), '{spelling.LETTERS}')) as run
+            from documents) group by all),
+    hashed as (select run, times, {_crc32_sql("named")} as h from runs),
+    words as (
+        select word, sum(times)::bigint as n from (
+            select times, case when h % 97 <> 0 then run
+                else substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) end as word
+            from hashed)
+        where length(word) >= 5 group by word having sum(times) >= 3),
+    cuts as (
+        select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+        from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+    pairs as (
+        select a.word, b.word as near, b.n from cuts a join cuts b using (i, rest) where a.word <> b.word
+        union select c.word, c.rest, w.n from cuts c join words w on w.word = c.rest
+        union select w.word, c.word, c.n from cuts c join words w on w.word = c.rest),
+    best as (
+        select word, count(*) as n_near, min({{'n': -n, 'near': near}}) as top from pairs group by word),
+    formed as (
+        select word, w.n, coalesce(n_near, 0) as n_near,
+               case when -top.n >= 2 * w.n then top.near end as form,
+               case when -top.n >= 2 * w.n then -top.n end as form_n
+        from words w left join best using (word)),
+    chains as (
+        select word, coalesce(form, word) as reached, 1 as step from formed
+        union all
+        select c.word, f.form, c.step + 1 from chains c join formed f on f.word = c.reached
+        where f.form is not null)
+    select word, form, root, n, n_near, form_n
+    from formed join (select word, arg_max(reached, step) as root from chains group by word) using (word)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    h = F.crc32(named.cast("binary"))
+    word = F.when(h % 97 == 0, spelling.without_point(
+        F.col("run"), (h % F.length("run")).cast("int"))).otherwise(F.col("run"))
+    words = spelling.letter_runs(docs).select(word.alias("word")).where(
+        F.length("word") >= spelling.MIN_LENGTH).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return spelling.variants(words.where("n >= 3"))
