@@ -38,6 +38,9 @@ def differences(spark, con, name, sf_dir) -> list[str]:
     want = con.execute(sql).df()
     if sorted(got.columns) != sorted(want.columns):
         return [f"columns {sorted(got.columns)} against {sorted(want.columns)}"]
+    for c in got.columns:
+        if isinstance(want[c].dtype, pd.Int64Dtype) and got[c].dtype == float:
+            got[c] = got[c].astype("Int64")  # whole numbers with nulls
     kinds = {c: (got[c].dtype, want[c].dtype) for c in got.columns
              if got[c].dtype != want[c].dtype}
     a, b = canonical(got), canonical(want)
