@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import (bpe, exact_dedup, forest_dedup, lm_mixing, merkle, packing, quality,
-                           spelling, substring_dedup, suffix_dedup, toxicity, url_filters)
+from tapeworks.llm import (bpe, exact_dedup, forest_dedup, hash_forest, lm_mixing, merkle, packing,
+                           quality, spelling, substring_dedup, suffix_dedup, toxicity, url_filters)
 from tapeworks.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,3 +260,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.letter_runs(docs).select(word.alias("word")).where(
         F.length("word") >= spelling.MIN_LENGTH).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return spelling.variants(words.where("n >= 3"))
+
+
+@query("op13_hash_prefix_forest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
