@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,24 +97,96 @@ FILES = {
 }
 
 
+def as_payloads(spark, folder):
+    parsed = rts13.parse_rts13(scan_payload_files(spark, str(folder)))
+    return rts13.rts13_trades(parsed, exchange=F.lit("X"), mic=F.lit(None), data_type=F.lit("post_trade"),
+                              source_file=F.col("source_uri"), ingest_ts=F.lit(NOW).cast("timestamp"))
+
+
+def plain(df):
+    name = F.regexp_extract("source_file", "[^/]+$", 0)
+    return sorted(map(tuple, df.select(name, "seq", "isin", "trade_price", "trade_flags_raw", "trade_id",
+                                       "event_ts").collect()), key=str)
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Blocks of a few lines."""
+    sizes = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    yield
+    for key in sizes:
+        spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("name", list(FILES))
 def test_large_files_and_payloads_agree(spark, tmp_path, name):
     (tmp_path / "f.csv").write_bytes(FILES[name])
-    split = rts13.read_rts13_files(spark, str(tmp_path), exchange="X")
-    whole = rts13.read_rts13_files(spark, str(tmp_path), exchange="X", multi_line=True)
-    got = [(r.seq, r.isin, r.trade_price) for r in split.collect()]
-    assert got == [(r.seq, r.isin, r.trade_price) for r in whole.collect()]
+    got = plain(rts13.read_rts13_files(spark, str(tmp_path), exchange="X"))
+    assert got == plain(as_payloads(spark, tmp_path))
     assert len(got) == {"bad-bytes": 1, "quotes": 2}.get(name, 0)
     parsed = rts13.parse_rts13(spark.createDataFrame([(bytearray(FILES[name]),)], "content binary"))
     assert parsed.first().malformed == (name in ("blank-first", "no-time"))
 
 
-def test_a_line_break_inside_quotes(spark, tmp_path):
-    (tmp_path / "f.csv").write_text('TradingDateTime,ISIN,Note\n2025-08-01,A,"one\ntwo"\n2025-08-01,B,\n')
-    with pytest.raises(Exception, match="goes on in the next line"):
-        rts13.read_rts13_files(spark, str(tmp_path), exchange="X").collect()
-    whole = rts13.read_rts13_files(spark, str(tmp_path), exchange="X", multi_line=True)
-    assert [(r.seq, r.isin) for r in whole.collect()] == [(1, "A"), (2, "B")]
+def test_quoted_line_breaks_across_blocks(spark, tmp_path, small_blocks):
+    """Random fields, open quotes, a record over many blocks, several line ends."""
+    pick = random.Random(3)
+
+    def field():
+        if pick.random() < .3:
+            inner = (pick.choice(["a", '""', ",", "\n", "\r\n", "\r", "b c", "é"]) for _ in range(pick.randint(0, 9)))
+            return '"' + "".join(inner) + '"' + pick.choice(["", "", 'z"q'])
+        return pick.choice(["", "abc", 'pl"ain', "12.5"])
+
+    for f in range(5):
+        lines = ["TradingDateTime,Note,ISIN,Price,Flags,TradeID"]
+        for i in range((0, 2, 40, 90, 60)[f]):
+            time = "bad" if i % 6 == 4 else f"2025-08-01T00:00:{i % 60:02d}Z"
+            lines += [""] * (i % 17 == 3) + [",".join([time, field(), field(), str(i), field(), f"T{i}"])]
+        if f == 3:
+            lines[30:30] = ['2025-08-02,"' + "long, \n" * 300 + '",X,7,,L', '2025-08-02,"x""\n",Y,8,,M']
+        if f == 4:
+            lines.append('2025-08-01,"never closed,\n\nX')
+        text = ("\n", "\r\n")[f % 2].join(lines) + "\n" * (f % 3)
+        (tmp_path / f"{f}.csv").write_bytes(text.encode())
+    got = plain(rts13.read_rts13_files(spark, str(tmp_path), exchange="X"))
+    assert got == plain(as_payloads(spark, tmp_path))
+    assert max(r[1] for r in got) > 70 and any("\r\n" in (r[4] or "") for r in got)
+
+
+def test_a_record_must_fit_its_bound(spark, tmp_path, small_blocks):
+    (tmp_path / "f.csv").write_text('TradingDateTime,ISIN\n2025-08-01,"' + "open\n" * 400)
+    with pytest.raises(Exception, match="has more than 1000 bytes"):
+        rts13.read_rts13_files(spark, str(tmp_path), exchange="X", max_record_bytes=1000).collect()
+
+
+def test_numbering_moves_no_rows(spark, tmp_path, small_blocks):
+    lines = [f'2025-08-01T00:00:00Z,"{i}\n",A' for i in range(200)]
+    (tmp_path / "f.csv").write_text("\n".join(["TradingDateTime,TradeID,ISIN", *lines]))
+    df = rts13.read_rts13_files(spark, str(tmp_path), exchange="X")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+    assert not any(word in plan for word in ("Exchange hashpartitioning", "Exchange rangepartitioning",
+                                             "Window", "SortMergeJoin"))
+    # Once for rows in one block, once for the few over several.
+    assert plan.count("csv-rows") == 1 and plan.count("csv-joined") == 1
+    assert sorted((r.seq, r.trade_id) for r in df.collect()) == [(i + 1, f"{i}\n") for i in range(200)]
+
+
+def test_a_known_header_may_be_there_or_not(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("TradingDateTime,ISIN\n2025-08-01,A\n")
+    (tmp_path / "b.csv").write_text("2025-08-02,B\n2025-08-03,C\n")
+    df = rts13.read_rts13_files(spark, str(tmp_path), exchange="X", header=["TradingDateTime", "ISIN"])
+    assert [r[1:3] for r in plain(df)] == [(1, "A"), (1, "B"), (2, "C")]
+
+
+def test_lines_that_end_in_carriage_returns(spark, tmp_path, small_blocks):
+    text = "TradingDateTime,ISIN,Note\r" + "".join(f'2025-08-01,I{i},"a\rb"\r' for i in range(60))
+    (tmp_path / "f.csv").write_text(text)
+    got = plain(rts13.read_rts13_files(spark, str(tmp_path), exchange="X", separator="\r"))
+    assert got == plain(as_payloads(spark, tmp_path)) and len(got) == 60
 
 
 def bme(spark, *contents):
