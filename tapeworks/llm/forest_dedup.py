@@ -118,17 +118,20 @@ def sign(table: pa.Table) -> pa.Table:
                      "signature": pa.array(signs, pa.binary())})
 
 
-def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def planted(classes: DataFrame) -> DataFrame:
     """A row for each tree: the label (two bytes of each hash) and a byte of every hash."""
-    for batch in batches:
-        found = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint32).reshape(-1, HASHES)
-        sketch = pa.array([blob(r) for r in (found & 0xFF).astype(np.uint8)], pa.binary())
-        for tree in range(TREES):
-            part = (found[:, tree * DEPTH:(tree + 1) * DEPTH] >> 16).astype(">u2")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(found), tree, np.int32)),
-                 pa.array([blob(r) for r in part], pa.binary()), batch["node"], batch["n"], sketch],
-                ["tree", "label", "node", "n", "sketch"])
+    # Hashes lie as four bytes each, the highest last.
+    def byte(place: int):
+        return F.substring("signature", place + 1, 1)
+
+    trees = F.array(*[F.struct(
+        F.lit(tree).alias("tree"), F.concat(*[
+            byte(4 * h + b) for h in range(tree * DEPTH, (tree + 1) * DEPTH) for b in (3, 2)]).alias("label"))
+        for tree in range(TREES)])
+    sketched = classes.select("node", "n", "signature", F.concat(*[
+        byte(4 * h) for h in range(HASHES)]).alias("sketch"))
+    return sketched.select(F.explode(trees).alias("place"), "node", "n", "sketch").select(
+        "place.tree", "place.label", "node", "n", "sketch")
 
 
 def rows_of(batch):
@@ -252,7 +255,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that join all classes which share a region of some tree and look similar."""
     spark, region = classes.sparkSession, ["tree", "prefix"]
     prefix = F.substring("label", 1, 2 * LEAST_DEPTH).alias("prefix")
-    forest = classes.select("node", "n", "signature").mapInArrow(plant, TREE_ROWS).select("*", prefix)
+    forest = planted(classes).select("*", prefix)
     crowded = staged(forest.groupBy(region).agg(F.count(F.lit(1)).alias("crowd"))
                      .where(F.col("crowd") > REACH + 1).select(region), "crowded")
     hot = crowded.limit(1).count() > 0
