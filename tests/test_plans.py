@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -89,6 +90,31 @@ def test_landing_equals_one_by_one(spark, batch):
     assert got == one_by_one(batch, {"known"}, {"K"})
 
 
+def test_a_long_chain_settles_in_few_rounds(spark, monkeypatch):
+    """10,000 payloads in one chain, each sharing its digest or label with the one before."""
+    batch = [(f"S{i // 2}", f"l{(i + 1) // 2}", i) for i in range(10_000)]
+    rounds = []
+    settled = L._settled
+    monkeypatch.setattr(L, "_settled", lambda *a: rounds.append(1) or settled(*a))
+    candidates = bronze(spark, *[(s, "x", lab, at, "downloaded") for s, lab, at in batch])
+    got = sorted((r.sha256, r.label) for r in L.select_new(spark, candidates, bronze(spark)).collect())
+    assert got == one_by_one(batch, set(), set()) and len(got) == 5_000
+    assert len(rounds) == 2
+
+
+def test_tangled_landings_and_null_labels(spark):
+    pick = random.Random(2)
+    batch = [(f"S{pick.randrange(120)}", f"l{pick.randrange(120)}", i) for i in range(300)]
+    batch += [("hot", f"h{i % 50}", 400 + i) for i in range(200)]
+    schema = bronze(spark, ("S", "x", "l", 1, "downloaded")).schema
+    rows = bronze(spark, *[(s, "x", lab, at, "downloaded") for s, lab, at in batch])
+    null = bronze(spark, ("N1", "x", "?", 900, "downloaded"), ("N2", "x", "?", 901, "downloaded")).withColumn(
+        "label", F.lit(None).cast("string")).select(*schema.names)
+    got = L.select_new(spark, rows.unionByName(null), bronze(spark)).collect()
+    assert sorted((r.sha256, r.label) for r in got if r.label) == one_by_one(batch, set(), set())
+    assert sorted(r.sha256 for r in got if r.label is None) == ["N1", "N2"]
+
+
 def test_files_are_sorted_in_limited_row_groups(spark, tmp_path):
     place = F.col("id") * 37 % 1000
     df = typed_select(spark.range(1000), "trades", {
