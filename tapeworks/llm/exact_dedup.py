@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.llm.staging import staged
+from tapeworks.llm.staging import staged, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
@@ -70,8 +70,9 @@ def group(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def kept_documents(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """One document of each text, with all its columns."""
+    digest, keep = unused(docs, "_digest"), unused(docs, "_keep")
     best = staged(winners(docs, salts), "winners").select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
+        F.col("digest").alias(digest), F.col("keep_id").alias(keep))
     # The pair of digest and id is no hot key, however many copies a text has.
-    return docs.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (
-        F.unhex(F.sha2(normal(F.col("text")), 256)) == F.col("_digest")), "left_semi")
+    return docs.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col(keep)) & (
+        F.unhex(F.sha2(normal(F.col("text")), 256)) == F.col(digest)), "left_semi")

@@ -45,7 +45,7 @@ from tapeworks.llm.arrays import (BASES, STEP, flat, grams, mix, prefix_sums, sp
                                   text_hashes, words)
 from tapeworks.llm.lm_mixing import upper_table
 from tapeworks.llm.staging import (ask, blob, chunked, components, join_by_hot_key, ordered,
-                                   partitions, staged, tell)
+                                   partitions, staged, tell, unused)
 
 SHINGLE, PERCENT, LEAST_PERCENT = 5, 85, 80
 TREES, DEPTH, LEAST_DEPTH = 16, 4, 2
@@ -485,8 +485,8 @@ def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows that repeat a doc_id stay or go together.
     """
-    found = staged(clusters(docs, percent), "kept")
+    found, gone = staged(clusters(docs, percent), "kept"), unused(docs, "_gone")
     stays = found.where("kept").select("doc_id")
-    goes = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    goes = goes.join(stays, F.col("_gone") == F.col("doc_id"), "left_anti")
-    return docs.join(goes, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    goes = found.where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    goes = goes.join(stays, F.col(gone) == F.col("doc_id"), "left_anti")
+    return docs.join(goes, F.col("doc_id").cast("long") == F.col(gone), "left_anti")

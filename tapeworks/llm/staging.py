@@ -41,6 +41,14 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``docs`` doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, *, carry: bool = False) -> DataFrame:
     """Documents in chunks of about ``chunk_bytes`` text bytes; a longer text is a chunk of its own.
 

@@ -72,3 +72,22 @@ def test_near_copies_from_80_percent(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, None, "c", 1) for i, t in rows], SCHEMA)
     stage = dict(corpus_pipeline.STAGES)["near_copies"]
     assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == want[80]
+
+
+def test_stages_take_any_columns_null_ids_and_repeated_rows(spark, tmp_path):
+    """Columns named like the operators' own, rows without an id, and rows given twice."""
+    names = ("_keep", "_digest", "_gone", "_row", "chunk", "row", "rest", "node", "seq")
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    texts = [(1, prose(5, 120)), (2, prose(6, 120)), (2, prose(6, 120)), (3, prose(5, 120)),
+             (None, prose(7, 120)), (None, prose(7, 120)), (4, None), (5, prose(8, 120)), (None, None)]
+    docs = spark.createDataFrame([(i, t, *names) for i, t in texts], schema)
+    found = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, found, str(tmp_path))
+        assert found.columns == docs.columns
+        found = spark.createDataFrame(found.collect(), docs.schema)
+    kept = found.collect()
+    assert {r.doc_id for r in kept} == {2, 3, 5, None}
+    assert all(tuple(r)[2:] == names for r in kept)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, found, str(tmp_path)).collect()
+    assert {p.doc_id for p in pieces} == {2, 3, 5, None}
