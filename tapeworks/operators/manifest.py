@@ -100,16 +100,17 @@ def fold_silver(events: DataFrame) -> DataFrame:
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the first in ``order``; rows without a whole key all stay.
 
-    An aggregation rather than a window: repeated keys shrink before the shuffle.
+    An aggregation rather than a window: repeated keys shrink before the shuffle.  A row
+    without a whole key is a group of its own, so the batch is read once.
     """
     rest = [c for c in batch.columns if c not in keys]
     lacking = F.lit(False)
     for key in keys:
         lacking = lacking | F.col(key).isNull()
-    best = batch.where(~lacking).groupBy(*keys).agg(
+    own = F.when(lacking, F.monotonically_increasing_id())
+    best = batch.withColumn("_own", own).groupBy(*keys, "_own").agg(
         F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                         for c in batch.columns]).unionByName(batch.where(lacking))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
 def not_seen(batch: DataFrame, bronze: DataFrame, keys: list[str]) -> DataFrame:
