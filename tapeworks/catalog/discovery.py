@@ -15,16 +15,22 @@ _BASE = r"regexp_extract(url, '^(https?://[^/?#]*)', 1)"
 _PAGE_PATH = r"regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1)"
 _PLAIN = "replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
 
+# The inside of a tag, for SQL text.
+_TAG = "(?:[^>\"'']|\"[^\"]*\"|''[^'']*'')*"
+_HREF = _PLAIN.format("concat(regexp_extract(a, '(?i)\\shref=\"([^\"]*)\"', 1), "
+                      "regexp_extract(a, '(?i)\\shref=''([^'']*)''', 1))")
+_TEXT = _PLAIN.format(f"regexp_replace(a, '(?s)<!--.*?-->|<{_TAG}>', '', 'g')")
+
 LINKS = f"""
 pages_v as ({X.listing_pages_sql('pages')}),
 anchors as (
   select page_id, url, unnest(list) as a, generate_subscripts(list, 1) - 1 as pos
-  from (select page_id, url,
-          regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a\\s*>') as list from pages_v)),
+  from (select page_id, url, list_filter(regexp_extract_all(
+          html, '(?is)<!--.*?-->|<script.*?</script\\s*>|<a\\s{_TAG}>.*?</a\\s*>'), lambda t: t ilike '<a%') as list
+        from pages_v)),
 hrefs as (
-  select page_id, url, pos, {_PLAIN.format("concat(regexp_extract(a, '(?i)href=\"([^\"]*)\"', 1), regexp_extract(a, '(?i)href=''([^'']*)''', 1))")} as href,
-    regexp_extract(a, '(?i)type="([^"]*)"', 1) as type_attr,
-    trim({_PLAIN.format("regexp_replace(a, '<[^>]*>', '', 'g')")}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as "text"
+  select page_id, url, pos, {_HREF} as href, regexp_extract(a, '(?i)\\stype="([^"]*)"', 1) as type_attr,
+    trim({_TEXT}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as "text"
   from anchors),
 found as (
   select page_id, cast(pos as int) as pos, href, type_attr, "text", case when href like 'http%://%' then href
@@ -118,7 +124,7 @@ def _seen(spark, sf_dir):
 @query("q_link_discovery", _FILES + """
 select feed, label, link, page_id, pos, regexp_extract(link, '([^/]*)$', 1) as file from unseen""")
 def link_discovery(spark, sf_dir):
-    """All new links; no page reaches a feed's cap."""
+    """All new links."""
     return P.discover(X.listing_pages(spark, sf_dir), _seen(spark, sf_dir)).select(
         "feed", "label", "link", "page_id", "pos", "file")
 
@@ -138,30 +144,30 @@ def link_discovery_capped(spark, sf_dir):
     return new.select("page_id", "pos", "label")
 
 
+_FEW = D.LinkRule("all", "link", ".", label="href", cap=6)
+
+
 @query("q_discovery_drained", f"""
-with {LINKS}, numbered as (
-  select page_id, pos, row_number() over (partition by page_id order by pos) as n
-  from (select page_id, min(pos) as pos from found group by page_id, concat(page_id, ' ', href)))
-select page_id, cast(pos as int) as pos, cast((n + 1) // 2 as int) as run from numbered where n <= 6""")
+with recursive {LINKS}, rest as (
+  select page_id, pos, href, 1 as run, row_number() over (partition by page_id order by pos) as n from found
+  union all
+  select page_id, pos, href, run + 1, row_number() over (partition by page_id order by pos)
+  from (select * from rest r where href not in (select href from rest where n <= 6)))
+select page_id, pos, href as label, cast(run as int) as run from rest where n <= 6""")
 def discovery_drained(spark, sf_dir):
-    """Three runs under a cap of two new links a page: what a run leaves, the next finds."""
-    pages = X.listing_pages(spark, sf_dir)
-    known = None
-    for run in (1, 2, 3):
-        bronze = spark.createDataFrame([], "label string, exchange string") if known is None else \
-            known.select("label", F.lit("x").alias("exchange"))
-        # A label is a page's own here, so that pages don't settle each other's links.
-        found = D.match_rules(D.page_links(pages), (_TWO,)).withColumn(
-            "label", F.concat("page_id", F.lit(" "), "label"))
-        first = D.last_link_per_file(
-            found.withColumn("link", F.col("label")), ["feed", "page_id", "cap"], ["pos"])
-        new = D.capped(M.not_seen(first.withColumn("label", F.col("link")), bronze, ["label"]),
-                       F.lit(True)).select("page_id", "pos", "label", F.lit(run).alias("run"))
-        folder = workspace(spark, "drained")
-        new.write.parquet(folder)
-        new = spark.read.parquet(folder)
-        known = new if known is None else known.unionByName(new)
-    return known.select("page_id", "pos", "run")
+    """Runs under a cap of six new links a page, until one finds nothing: what a run
+    leaves, a later one finds, unless its label has been taken meanwhile."""
+    pages, folder, run = X.listing_pages(spark, sf_dir), workspace(spark, "drained"), 0
+    known = "label string, exchange string, page_id long, pos int, run int"
+    while True:
+        run += 1
+        bronze = spark.createDataFrame([], known) if run == 1 else spark.read.schema(known).parquet(folder)
+        new = P.discover(pages, bronze, rules=(_FEW,)).select(
+            "label", F.lit("x").alias("exchange"), "page_id", "pos", F.lit(run).alias("run"))
+        new.write.mode("append").parquet(folder)
+        found = spark.read.schema(known).parquet(folder)
+        if found.where(F.col("run") == run).isEmpty():
+            return found.select("page_id", "pos", "label", "run")
 
 
 # --- pointer ------------------------------------------------------------------------------

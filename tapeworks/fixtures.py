@@ -312,7 +312,8 @@ MARKET_NAMES = ("bxe", "CXE", "dxe", "apa", "zzz")
 
 def listing_pages_sql(source: str) -> str:
     """Pages with a file listing appended: hourly CSVs, a repeated file under a
-    second address, a post-trade JSON, links known by type or text, a stamped file."""
+    second address, a post-trade JSON, links known by type or text, a stamped file,
+    and anchors that a comment, a script or a quoted ``>`` might blur."""
     return f"""
 select page_id, url, concat(html,
   '<a href="files/rts13_public_trade_data_', {choice('page_id', MARKET_NAMES)},
@@ -327,6 +328,9 @@ select page_id, url, concat(html,
   '<a href="/p/pre?d=', cast(page_id as string), '">Download der Pretrade Daten für ',
   cast(page_id % 30 as string), '</a>',
   '<a href="/z/DEUR-2025-08-01T', cast(page_id % 10 + 10 as string), '_00.json.gz">gz</a>',
+  '<!-- <a href="/old/f', cast(page_id as string), '.csv">commented</a> > -->',
+  '<script type="x">let a = "<a href=''/js.csv''>written</a>";</script>',
+  '<a title="1 > 0, href=no" href="/gt/', cast(page_id as string), '.csv">gt <!-- <b> --></a>',
   '<a href="">none</a>') as html
 from {source}"""
 

@@ -11,8 +11,14 @@ from pyspark.sql import Column, functions as F
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
 _NETLOC = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"
 _PATH = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
-_ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
-_OPEN_TAG = r"(?is)^<a\s([^>]*)>"
+# Inside a tag: a ``>`` in a quoted value doesn't end it; quotes elsewhere are characters.
+_INSIDE = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
+# One pass over a page: what holds no anchors is consumed first, and gives ''.
+_TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea)\b" + _INSIDE + r">.*?(?:</\1\s*+>|\z)"
+          r"|(<a\s" + _INSIDE + r">.*?</a\s*+>)")
+_OPEN_TAG = r"(?is)^<a\s(" + _INSIDE + ")>"
+_NO_TEXT = r"(?is)<!--.*?-->|<" + _INSIDE + ">"
+_ATTRIBUTE = r"""(?:=|[^\s=>]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)\s*+"""
 
 # The delivery link of the bond venue and its stamp in file names.
 DELIVERY_LINK = r"(?i)https://dl\.luxse\.com/dl\?v=[^\s<>\"]+"
@@ -81,18 +87,22 @@ def unescape(text: Column) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """All ``<a …>…</a>`` elements as an array of their source text."""
-    return F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+    """All ``<a …>…</a>`` elements as an array of their source text.
+
+    Those in comments, scripts, styles and text areas are no elements.
+    """
+    found = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(2))
+    return F.filter(found, lambda a: a != "")
 
 
 def anchor_attribute(anchor: Column, name: str) -> Column:
-    """Attribute of an anchor, '' when missing."""
+    """Attribute of an anchor, '' when missing; of a repeated one the first counts."""
     tag = F.regexp_extract(anchor, _OPEN_TAG, 1)
-    value = (r"(?is)(?:^|\s)" + name
-             + r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    value = (rf"(?is)^\s*+(?:(?!{name}\s*+=){_ATTRIBUTE})*+{name}\s*+=\s*+"
+             r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
     return unescape(F.concat(*[F.regexp_extract(tag, value, k) for k in (1, 2, 3)]))
 
 
 def anchor_text(anchor: Column) -> Column:
     """Text between the tags, trimmed."""
-    return F.btrim(unescape(F.regexp_replace(anchor, r"<[^>]*>", "")), F.lit(" \t\r\n\f\x0b "))
+    return F.btrim(unescape(F.regexp_replace(anchor, _NO_TEXT, "")), F.lit(" \t\r\n\f\x0b "))

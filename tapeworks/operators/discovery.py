@@ -26,8 +26,9 @@ class LinkRule(NamedTuple):
     ``target`` is the column the pattern is tested on: ``text``, ``link`` or
     ``type_attr``.  ``label`` is what the manifest is asked for: the link's text,
     its ``href`` as written, or the ``file`` name.  ``once_per_file`` takes one
-    link per page and file name.  ``cap`` bounds the links of a page in one run:
-    only new ones count, or, with ``cap_first``, all of them.
+    link per page and file name.  ``cap`` bounds the links of a page in one run.  New
+    ones count, so later runs find the rest; with ``cap_first`` all links count,
+    known ones too, and links behind the first ``cap`` of a page are never found.
     """
     feed: str
     target: str
@@ -38,20 +39,30 @@ class LinkRule(NamedTuple):
     cap_first: bool = False
 
 
-# Feeds, patterns, what a file is known by, and caps.
+# Feeds, patterns, and what a file is known by.
 LINK_RULES = (
     LinkRule("bme", "text", r"(?i)_BMEA_posttrade\.json$"),
     LinkRule("munich/pretrade", "text", r"(?i)^pretrade\."),
     LinkRule("munich/posttrade", "text", r"(?i)^posttrade\."),
     LinkRule("lsx", "text", r"(?i)^Pretrade Daten "),
     LinkRule("boersenag", "text", r"(?i)Download der Daten für "),
-    LinkRule("berlin/pretrade", "text", r"(?i)^Download der Pretrade Daten für ", cap=50),
-    LinkRule("berlin/posttrade", "type_attr", r"^text/comma-separated-values$", cap=50),
+    LinkRule("berlin/pretrade", "text", r"(?i)^Download der Pretrade Daten für "),
+    LinkRule("berlin/posttrade", "type_attr", r"^text/comma-separated-values$"),
     LinkRule("athex", "link", r"\.csv$", label="file", once_per_file=True),
     *(LinkRule(f"cboe/{m}/hourly", "link", hourly_file(m), label="file") for m in MARKETS),
-    LinkRule("deutsche-boerse", "link", r"\.json\.gz$", label="href", cap=100, cap_first=True),
+    LinkRule("deutsche-boerse", "link", r"\.json\.gz$", label="href"),
 )
 
+# How many files some feeds fetch in one run.
+RUN_CAPS = {"berlin/pretrade": 50, "berlin/posttrade": 50, "deutsche-boerse": 100}
+
+
+def with_caps(rules: tuple[LinkRule, ...], caps: dict[str, int] = RUN_CAPS,
+              cap_first: tuple[str, ...] = ()) -> tuple[LinkRule, ...]:
+    """The rules with a cap for each feed named in ``caps``."""
+    return tuple(r._replace(cap=caps[r.feed], cap_first=r.feed in cap_first) if r.feed in caps else r
+                 for r in rules)
+
 
 def page_links(pages: DataFrame, *, html: str = "html", base: str = "url") -> DataFrame:
     """Anchors with a non-empty href: page columns, ``pos``, ``href``, ``type_attr``,
@@ -105,9 +116,9 @@ def last_link_per_file(found: DataFrame, section: list[str], order: list[str],
     ).select(*section, "file", link, *[F.col(f"_first.{c}").alias(c) for c in order])
 
 
-def capped(found: DataFrame, which: Column, page: str = "page_id", order: str = "pos") -> DataFrame:
+def capped(found: DataFrame, which: Column, page: str = "page_id", order: tuple = ("pos",)) -> DataFrame:
     """Rows for which ``which`` holds, cut to their ``cap`` for each feed and page."""
-    place = F.row_number().over(W.partitionBy("feed", page).orderBy(order))
+    place = F.row_number().over(W.partitionBy("feed", page).orderBy(*order))
     held = found.where(which).withColumn("_place", place).where(
         F.col("_place") <= F.col("cap")).drop("_place")
     return found.where(~which).unionByName(held)

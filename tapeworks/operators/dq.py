@@ -22,6 +22,7 @@ DEFAULT_RULES = (
     Rule("bank-of-greece", 1, 0.20),
 )
 
+# Statuses that count, and the texts of the messages below.
 _COUNTED = ("downloaded", "ingested", "failed")
 
 
@@ -31,16 +32,21 @@ def _percent(share: Column) -> Column:
 
 def rule_counts(spark: SparkSession, bronze: DataFrame, rules: tuple[Rule, ...], *,
                 cutoff: Column) -> DataFrame:
-    """Files and failures per rule since ``cutoff`` (inclusive).
+    """Files and failures per rule since ``cutoff`` (inclusive)."""
+    per_feed = (bronze.where((F.col("scraped_at") >= cutoff) & F.col("status").isin(*_COUNTED))
+                .groupBy("exchange").agg(F.count("*").alias("files"),
+                                         F.count_if(F.col("status") == "failed").alias("failed")))
+    return _per_rule(spark, per_feed, rules)
+
+
+def _per_rule(spark: SparkSession, per_feed: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """Files and failures per rule.
 
     A rule covers every feed whose name contains its text, with ``%`` and ``_``
     as wildcards and without case, so one feed may count for several rules.
-    The manifest is first reduced to one line per feed; the rules then enter as
-    a literal array that is filtered per feed, so no pairs are formed by a join.
+    ``per_feed`` has one line per feed; the rules enter as a literal array that is
+    filtered per feed, so no pairs are formed by a join.
     """
-    per_feed = (bronze.where((F.col("scraped_at") >= cutoff) & F.col("status").isin(*_COUNTED))
-                .groupBy("exchange").agg(F.count("*").alias("files"),
-                                         F.count_if(F.col("status") == "failed").alias("failed")))
     patterns = F.array(*[F.struct(F.lit(i).alias("rule_no"), F.lit(
         "%" + r.exchange.replace("\\", "\\\\") + "%").alias("pattern"))
         for i, r in enumerate(rules)])
@@ -61,7 +67,20 @@ def check(spark: SparkSession, bronze: DataFrame, rules: tuple[Rule, ...] = DEFA
     Too few files is reported before the failure rate is looked at.
     """
     end = F.lit(now) if isinstance(now, (int, float)) else now
-    counts = rule_counts(spark, bronze, rules, cutoff=end - F.lit(window_hours * 3600))
+    return _failed(rule_counts(spark, bronze, rules, cutoff=end - F.lit(window_hours * 3600)), window_hours)
+
+
+def check_hours(spark: SparkSession, hours: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, *,
+                end: Column, window_hours: int = 24) -> DataFrame:
+    """Failed rules over the lines (exchange, window_start, files, failed) of the
+    ``window_hours`` before ``end``; they may come from a stream (``streaming.hours``)."""
+    since = end - F.make_interval(hours=F.lit(window_hours))
+    per_feed = hours.where((F.col("window_start") >= since) & (F.col("window_start") < end)).groupBy(
+        "exchange").agg(F.sum("files").alias("files"), F.sum("failed").alias("failed"))
+    return _failed(_per_rule(spark, per_feed, rules), window_hours)
+
+
+def _failed(counts: DataFrame, window_hours: float) -> DataFrame:
     rate = F.col("failed") / F.nullif(F.col("files"), F.lit(0))
     few = F.concat(F.lit("DQ: exchange="), "exchange", F.lit(" got "),
                    F.col("files").cast("string"),

@@ -143,3 +143,25 @@ def test_anchors(spark):
         links.anchor_attribute(F.col("a"), "href"), links.anchor_text(F.col("a")),
         links.anchor_attribute(F.col("a"), "type")).collect()]
     assert got == [("a.csv", "one & two", ""), ("", "no", ""), ("/b?x=1&y=2", "B", "text/csv")]
+
+
+def test_what_is_no_anchor(spark):
+    html = ("<!-- <a href='c1'>no</a> --><script>x = \"<a href='s'>no</a>\"</script><STYLE>a</STYLE>"
+            "<a title='x > y href=t' data-href=d href=\"q?a='1'\">one <!-- </b> > --><i class='>'>two</i></a >"
+            "<textarea><a href=t>no</a></textarea><a name=it's href=u>three</a><a href = 'v' href='w'>four</a>"
+            "<a = href=x>five</a><!-- never closed <a href=z>no</a>")
+    df = spark.createDataFrame([(html,)], "html string").select(
+        F.posexplode(links.anchors(F.col("html"))).alias("pos", "a"))
+    got = [tuple(r) for r in df.select("pos", links.anchor_attribute(F.col("a"), "href"),
+                                       links.anchor_text(F.col("a"))).collect()]
+    assert got == [(0, "q?a='1'", "one two"), (1, "u", "three"), (2, "v", "four"), (3, "x", "five")]
+
+
+def test_anchors_of_a_long_page(spark):
+    """Many tags, attributes and unclosed anchors: no deep recursion."""
+    html = "<a href=u>" + "<b x='1' y=2>t</b>" * 20_000 + "</a>" + "<a " + "k='v' " * 3_000 + "href=z>last</a>"
+    df = spark.createDataFrame([(html + "<a href=open>" * 3_000,)], "html string").select(
+        F.explode(links.anchors(F.col("html"))).alias("a"))
+    got = [(r[0], len(r[1])) for r in df.select(links.anchor_attribute(F.col("a"), "href"),
+                                               links.anchor_text(F.col("a"))).collect()]
+    assert got == [("u", 20_000), ("z", 4)]

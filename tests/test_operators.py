@@ -233,6 +233,36 @@ def test_a_label_seen_anywhere_is_seen(spark):
     assert sorted(r.label[0] for r in discover(pages, seen).collect()) == ["0", "2"]
 
 
+def _capped_runs(spark, rules, n_runs, fails=()):
+    """Runs over one page of 150 files; what is fetched is seen by the next run."""
+    page = "".join(f'<a href="/f{i}.json.gz">x</a>' for i in range(150))
+    pages = spark.createDataFrame([(1, "http://h/p", page)], "page_id long, url string, html string")
+    known, tried, runs = [], [], []
+    for _ in range(n_runs):
+        bronze = spark.createDataFrame([("x", k) for k in known], "exchange string, label string")
+        failed = spark.createDataFrame([(t,) for t in tried], "label string")
+        new = [r.label for r in discover(pages, bronze, rules=rules, tried=failed).collect()]
+        known += [n for n in new if n not in fails]
+        tried += [n for n in new if n in fails]
+        runs.append(len(new))
+    return runs, known
+
+
+def test_rules_have_no_cap_unless_asked(spark):
+    assert _capped_runs(spark, D.LINK_RULES, 2)[0] == [150, 0]
+    assert _capped_runs(spark, D.with_caps(D.LINK_RULES), 3)[0] == [100, 50, 0]
+    first = D.with_caps(D.LINK_RULES, cap_first=("deutsche-boerse",))
+    assert _capped_runs(spark, first, 2)[0] == [100, 0]
+    assert {r.feed: r.cap for r in first if r.cap} == D.RUN_CAPS
+
+
+def test_failures_do_not_use_up_a_cap(spark):
+    fails = [f"/f{i}.json.gz" for i in range(100)]
+    runs, known = _capped_runs(spark, D.with_caps(D.LINK_RULES), 2, fails)
+    # The files behind the failing ones come first in the second run.
+    assert runs == [100, 100] and sorted(known) == sorted(f"/f{i}.json.gz" for i in range(100, 150))
+
+
 def test_marks(spark):
     df = spark.createDataFrame([("x", "a-2025-04-16T14_21.json.gz"), ("x", "a-2025-04-16T14_20.json.gz"),
                                 ("x", "a.json.gz"), ("new", "b-2020-01-01T00_00.json.gz")],

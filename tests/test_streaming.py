@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 
 from tapeworks.plans.ingest import parquet_sink
 from tapeworks.sources.silver import read_silver
+from tapeworks.operators import dq
 from tapeworks.streaming import passes as S
+from tapeworks.streaming.dedupe import read_parts, split_batch
+from tapeworks.streaming.hours import feed_hours
 
 HEAD = "TradingDateTime,ISIN,Price,Quantity\n"
 
@@ -60,3 +63,52 @@ def test_rows_without_a_key_pass_through(spark, tmp_path):
 
 def test_a_batch_keeps_its_pass_id():
     assert S.batch_pass("/a", 3) == S.batch_pass("/a", 3) != S.batch_pass("/b", 3)
+
+
+def test_silent_feeds_have_hours_and_fail_the_gate(spark, tmp_path):
+    base, folder = 1754006400, str(tmp_path / "in")
+    schema = "sha256 string, exchange string, status string, second long"
+
+    def send(*rows):
+        spark.createDataFrame(rows, schema).withColumn("scraped_ts", F.timestamp_seconds("second")).drop(
+            "second").write.mode("append").parquet(folder)
+
+    def drain():
+        stream = S.stream_folder(spark, folder, spark.read.parquet(folder).schema)
+        lines = feed_hours(stream, spark.createDataFrame([("quiet",)], "exchange string"), since=base + 60, shards=2)
+        S.append_stream(lines, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")).awaitTermination()
+        return spark.read.schema(lines.schema).parquet(str(tmp_path / "out"))
+
+    send(*[(f"s{i}", "busy", "failed" if i == 0 else "ok", base + i * 1800) for i in range(4)])
+    drain()
+    send(("m", "clock", "ok", base + 5 * 3600))
+    hours = drain()
+    got = {(r.exchange, r.hour): (r.files, r.failed) for r in hours.groupBy(
+        "exchange", ((F.unix_seconds("window_start") - base) / 3600).cast("int").alias("hour")).agg(
+        F.sum("files").alias("files"), F.sum("failed").alias("failed")).collect()}
+    assert {h: v for (e, h), v in got.items() if e == "quiet"} == {h: (0, 0) for h in range(4)}
+    assert {h: v for (e, h), v in got.items() if e == "busy"} == {0: (2, 1), 1: (2, 0), 2: (0, 0), 3: (0, 0)}
+    rules = (dq.Rule("quiet", 1), dq.Rule("busy", 1, 0.5), dq.Rule("never", 0), dq.Rule("busy", 1, 0.1))
+    failed = dq.check_hours(spark, hours, rules, end=F.timestamp_seconds(F.lit(base + 4 * 3600))).collect()
+    assert [(r.rule_no, r.message) for r in sorted(failed, key=lambda r: r.rule_no)] == [
+        (0, "DQ: exchange=quiet got 0 files in last 24h (expected >= 1)"),
+        (3, "DQ: exchange=busy failure rate 1/4=25% exceeds max=10%")]
+
+
+def test_every_row_is_kept_late_or_a_repeat(spark, tmp_path):
+    def at(hour):
+        return dt.datetime(2025, 8, 1) + dt.timedelta(hours=hour)
+
+    schema, folder = "k string, event_ts timestamp, n int", str(tmp_path)
+    batches = [[("a", at(5), 1), ("a", at(6), 2), (None, at(5), 3), (None, at(5), 4)],
+               [("a", at(7), 5), ("b", at(1), 6), ("b", at(30), 7), ("c", at(5), 8)],
+               [("a", at(40), 9), ("b", at(31), 10), ("c", at(19), 11), (None, at(2), 12), (None, None, 13)]]
+    for number in (0, 1, 1, 2, 2):  # batches that run again replace their own rows
+        split_batch(spark.createDataFrame(batches[number], schema), number, ["k"], folder, delay="10 hours")
+    rows = read_parts(spark, folder, spark.createDataFrame([], schema)).collect()
+    assert {r.n: (r.batch, r.part) for r in rows} == {
+        1: (0, "kept"), 2: (0, "repeats"), 3: (0, "kept"), 4: (0, "kept"),
+        5: (1, "repeats"), 6: (1, "kept"), 7: (1, "repeats"), 8: (1, "kept"),
+        # The mark is hour 20 by now: what was kept at hour 5 is forgotten.
+        9: (2, "kept"), 10: (2, "kept"), 11: (2, "late"), 12: (2, "late"), 13: (2, "kept")}
+    assert len(rows) == 13
