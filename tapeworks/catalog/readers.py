@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tapeworks import fixtures as X
 from tapeworks.catalog.manifest import BRONZE
 from tapeworks.catalog.registry import query
 from tapeworks.functions.hashing import provenance_hash
-from tapeworks.operators import metrics as MT
+from tapeworks.operators import metrics as MT, validate as V
 from tapeworks.session import workspace
 from tapeworks.sinks import parquet as P
 from tapeworks.sources.payloads import attach_content, is_virtual, scan_payload_files
-from tapeworks.sources.reference_data import read_master_csv
+from tapeworks.sources.reference_data import legacy_bronze_rows, read_label_list, read_master_csv
+from tapeworks.sources.silver import read_nanosecond_parquet
 
 
 @query("q_payload_files", """
@@ -44,6 +47,71 @@ def master_file(spark, sf_dir):
     return read_master_csv(spark, folder).drop("row_no")
 
 
+@query("q_nanosecond_import", f"""
+select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as at, true as same from events""")
+def nanosecond_import(spark, sf_dir):
+    """Events stored by another writer with nanosecond times, read back: cut to microseconds."""
+    events = X.table(spark, sf_dir, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    folder = workspace(spark, "nanoseconds")
+
+    def write(batches):
+        """One file for each task; each time gets some nanoseconds more."""
+        import pyarrow as pa
+        import pyarrow.fs
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+        fs, path = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        fs.create_dir(path)
+        for n, batch in enumerate(batches):
+            ids = batch.column("event_id").to_numpy()
+            ns = batch.column("us").to_numpy() * 1000 + ids % 1000
+            rows = pa.table({"event_id": ids, "ts": pa.array(ns, pa.timestamp("ns", "UTC"))})
+            pq.write_table(rows, f"{path}/part-{TaskContext.get().partitionId()}-{n}.parquet",
+                           filesystem=fs, version="2.6")
+            yield pa.RecordBatch.from_arrays([pa.array([len(ids)])], ["n"])
+
+    events.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    read = read_nanosecond_parquet(spark, folder, "ts")
+    return read.join(events, "event_id").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"),
+        (F.unix_micros("ts") == F.col("us")).alias("same"))
+
+
+@query("q_schema_drift", """
+select variant, drift, rows from (values ('pinned', ''), ('without flags', 'missing trade_flags_raw string'),
+  ('moved', 'column order'), ('retyped', 'missing seq bigint; unexpected seq int'),
+  ('longer', 'unexpected note string')) variants(variant, drift), (select count(*) as rows from lineitem) counts""")
+def schema_drift(spark, sf_dir):
+    """Trades written in five forms; the schema of the files is held against the pinned one."""
+    rows = X.trade_rows(spark, sf_dir)
+    forms = {"pinned": rows, "without flags": rows.drop("trade_flags_raw"),
+             "moved": rows.select(*reversed(rows.columns)),
+             "retyped": rows.withColumn("seq", F.col("seq").cast("int")),
+             "longer": rows.withColumn("note", F.lit("x"))}
+    found = []
+    for variant, form in forms.items():
+        folder = workspace(spark, "drift")
+        form.write.parquet(folder)
+        written = spark.read.parquet(folder)
+        found.append(written.agg(F.count("*").alias("rows")).select(
+            F.lit(variant).alias("variant"), F.lit("; ".join(V.schema_drift(written.schema, "trades"))).alias(
+                "drift"), "rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("q_label_files", """
+select concat(lang, '-', doc_id, '.csv') as label, concat('legacy:', lang, '-', doc_id, '.csv') as sha256,
+  'ingested' as status from documents""")
+def label_files(spark, sf_dir):
+    """Label lists as files, one JSON array each, read and turned into manifest rows."""
+    label = F.concat("lang", F.lit("-"), "doc_id", F.lit(".csv"))
+    folder = workspace(spark, "labels")
+    (X.table(spark, sf_dir, "documents").groupBy(F.expr("doc_id div 200").alias("list"))
+     .agg(F.to_json(F.collect_list(label)).alias("value")).write.partitionBy("list").text(folder))
+    return legacy_bronze_rows(read_label_list(spark, folder), scraped_at=F.lit(0.0)).select(
+        "label", "sha256", "status")
+
+
 @query("q_file_codecs", """
 select codec, count(*) as rows, cast(sum(l_quantity) as bigint) as size
 from lineitem, (values ('gz'), ('snappy'), ('zstd')) codecs(codec) group by 1""")

@@ -10,6 +10,7 @@ from tapeworks.catalog.rows import TRADES, clock, money
 from tapeworks.operators.manifest import ManifestTables
 from tapeworks.session import workspace
 from tapeworks.sinks import logs, maintenance, parquet as P
+from tapeworks.sinks.estimate import estimate
 from tapeworks.sources.silver import read_live, read_silver
 
 _PATH = """concat('trades/exchange=', exchange, '/year=', strftime(event_ts, '%Y'), '/month=',
@@ -31,6 +32,19 @@ def partition_totals(spark, sf_dir):
     return P.write_plan_totals(P.write_plan(X.trade_rows(spark, sf_dir), "trades"))
 
 
+@query("q_partition_size", f"""
+with {TRADES} select {_PATH} as partition_path, count(*) as rows, true as close from trades_v group by 1""")
+def partition_size(spark, sf_dir):
+    """The size that a write would have, next to the size it has: within 30 %."""
+    rows, folder = X.trade_rows(spark, sf_dir), workspace(spark, "sized")
+    P.write_silver(rows, folder, "trades")
+    files = P.written_files(spark, folder, "trades", ManifestTables(spark, f"{folder}/_none").silver())
+    real = files.groupBy("partition_path").agg(F.sum("bytes_size").alias("real"))
+    close = F.abs(F.col("bytes") - F.col("real")) <= 0.3 * F.col("real")
+    return estimate(rows, "trades").join(real, "partition_path", "left").select(
+        "partition_path", "rows", F.coalesce(close, F.lit(False)).alias("close"))
+
+
 @query("q_partition_head", f"""
 with {TRADES} select partition_path, cast(place as int) as place, {duck_time('event_ts')} as event_time, isin from (
   select *, {_PATH} as partition_path, row_number() over (

@@ -50,9 +50,11 @@ def in_files(rows: DataFrame, files: DataFrame) -> DataFrame:
 def read_nanosecond_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Import files that store ``columns`` as nanosecond timestamps.
 
-    Needs ``spark.sql.legacy.parquet.nanosAsLong=true``; values are cut to
-    microseconds, the precision of every timestamp here.
+    Values are cut to microseconds, the precision of every timestamp here.  Spark
+    reads nanoseconds as whole numbers if it is told so, which is set in the session;
+    other columns aren't concerned.
     """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(path)
     for name in columns:
         df = df.withColumn(name, F.timestamp_micros(F.expr(f"`{name}` div 1000")))
