@@ -141,6 +141,26 @@ def expire(spark, sf_dir):
     return _by_day(read_live(spark, folder, "trades", manifest.silver()))
 
 
+@query("q_purgeable", f"""
+with {TRADES}, appends as (select {_PATH} as partition_path, seq % 2 as append, count(*) as rows,
+  min(cast(event_ts as date)) as day from trades_v group by 1, 2)
+select partition_path, case when count(*) = 2 then 'compacted' else 'expired' end as status,
+  sum(rows)::bigint as rows
+from appends group by 1 having count(*) = 2 or min(day) < date '2025-08-04'""")
+def purgeable(spark, sf_dir):
+    """Files due for deletion: those retired at 10 and 20.  What expired at 300,000 is
+    past its grace too, but a reader still looks at the state of 200,000."""
+    folder, manifest = _written(spark, sf_dir, appends=2)
+    maintenance.compact(spark, manifest, folder, "trades", now=10.0)
+    # What was never compacted (directories of one append) expires early, the rest late.
+    single = manifest.silver().where((F.col("status") == "written") & (F.col("written_at") < 10.0))
+    manifest.record_silver(maintenance.expired(single, "2025-08-04", 20.0), 2)
+    manifest.record_silver(maintenance.expired(manifest.silver(), "2025-08-04", 300_000.0), 3)
+    readers = spark.createDataFrame([(200_000.0,), (400_000.0,)], "as_of double")
+    due = maintenance.purgeable(manifest.silver(), now=500_000.0, grace=86_400.0, readers=readers)
+    return due.groupBy("partition_path", "status").agg(F.sum("rows").alias("rows"))
+
+
 # --- states in time --------------------------------------------------------------------------
 
 def _appends(spark, sf_dir):

@@ -1,17 +1,27 @@
 """Compaction and retention of silver files, as manifest events.
 
-Old files stay where they are; readers that go through the manifest
-(``sources.silver.read_live``) see only files with status ``written``.
+Compaction and retention only retire files: they stay where they are, and readers
+that go through the manifest (``sources.silver.read_live``) see only files with status
+``written``.  ``purgeable`` then tells which retired files nobody can need any more,
+and ``purge`` deletes those and says so in the manifest.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapeworks.operators.manifest import ManifestTables
 from tapeworks.sinks.parquet import silver_rows, write_silver, written_files
 from tapeworks.sources.silver import in_files, read_silver
 
+# Executors need pyarrow, but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Files below this size are small.
 SMALL_BYTES = 128 << 20
 
@@ -61,3 +71,49 @@ def expired(silver: DataFrame, cutoff_day: str | Column, now: float) -> DataFram
     limit = F.lit(cutoff_day) if isinstance(cutoff_day, str) else cutoff_day
     return (silver.where((F.col("status") == "written") & (F.substring(day, 2, 10) < limit))
             .withColumn("status", F.lit("expired")).withColumn("written_at", F.lit(now)))
+
+
+# What a file is called once it is retired.
+RETIRED = ("compacted", "expired")
+
+
+def purgeable(silver: DataFrame, *, now: float, grace: float, readers: DataFrame | None = None) -> DataFrame:
+    """Retired files that may be deleted.
+
+    A file is retired at the time of the event that made it so.  It must have been so
+    for ``grace`` seconds, for readers that listed the manifest before, and since
+    before every time that a reader still looks at: ``readers`` (``as_of``) has those.
+    Who reads the state of a time at or after a file's retirement doesn't see the file.
+    """
+    # One line; no readers, no bound.
+    oldest = None if readers is None else readers.agg(F.min("as_of")).first()[0]
+    limit = now - grace if oldest is None else min(now - grace, oldest)
+    return silver.where(F.col("status").isin(*RETIRED) & (F.col("written_at") <= limit))
+
+
+def purge(spark: SparkSession, manifest: ManifestTables, *, now: float, grace: float,
+          readers: DataFrame | None = None, event_no: int = 3) -> None:
+    """Delete what is ``purgeable`` now.
+
+    Two phases: the files get status ``purging``, then they are deleted, then they get
+    ``purged``.  A run that dies between them leaves files that the next one finds by
+    their status; deleting a file that is gone is no error.
+    """
+    due = purgeable(manifest.silver(), now=now, grace=grace, readers=readers)
+    manifest.record_silver(due.withColumn("status", F.lit("purging")).withColumn("written_at", F.lit(now)), event_no)
+    marked = manifest.silver().where("status = 'purging'")
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        for batch in batches:
+            for uri in batch.column("target_uri").to_pylist():
+                # Listed as by Spark: file:/a or file:///a.
+                store, path = fs.FileSystem.from_uri(
+                    "file:///" + uri[5:].lstrip("/") if uri.startswith("file:") else uri)
+                if store.get_file_info(path).type != fs.FileType.NotFound:
+                    store.delete_file(path)
+            yield batch
+
+    gone = marked.select("target_uri").mapInArrow(delete, "target_uri string")
+    manifest.record_silver(marked.join(gone, "target_uri", "left_semi").withColumn(
+        "status", F.lit("purged")).withColumn("written_at", F.lit(now)), event_no + 1)

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pyarrow as pa
@@ -198,6 +199,41 @@ def test_a_repeated_pass_replaces_its_rows(spark, tmp_path):
         "written": 1, "expired": 1}
 
 
+def test_purge_deletes_what_nobody_needs(spark, tmp_path):
+    store, root = ManifestTables(spark, str(tmp_path / "m")), str(tmp_path / "data")
+    rows = trades(spark, *[{"seq": i, "event_ts": dt.datetime(2025, 8, 1 + i % 2)} for i in range(8)])
+    rows = rows.withColumn("bronze_sha256", F.lit("s"))
+    for at in (1.0, 2.0):
+        pass_id = P.write_silver(rows, root, "trades", lineage=True)
+        store.record_silver(P.silver_rows(P.written_files(spark, root, "trades", store.silver(), pass_id=pass_id), F.lit(at)))
+    maintenance.compact(spark, store, root, "trades", now=10.0)
+    store.record_silver(maintenance.expired(store.silver(), "2025-08-02", 50.0), 2)
+
+    def files():
+        return {str(p) for p in (tmp_path / "data").rglob("*.parquet")}
+
+    def paths(df):
+        return {"/" + r.target_uri.removeprefix("file:").lstrip("/") for r in df.collect()}
+
+    every, state = files(), store.silver()
+    compacted, expired_ = paths(state.where("status = 'compacted'")), paths(state.where("status = 'expired'"))
+    live = paths(state.where("status = 'written'"))
+    assert (len(compacted), len(expired_), len(live)) == (4, 1, 1) and every == compacted | expired_ | live
+    readers = spark.createDataFrame([(9.0,)], "as_of double")
+    assert maintenance.purgeable(state, now=100.0, grace=20.0, readers=readers).count() == 0
+    assert paths(maintenance.purgeable(state, now=60.0, grace=20.0)) == compacted
+    before = sorted(map(tuple, read_live(spark, root, "trades", store.silver()).collect()))
+    maintenance.purge(spark, store, now=60.0, grace=20.0)
+    assert files() == expired_ | live
+    # A file that was marked but is gone already is no trouble.
+    os.unlink(next(iter(expired_)))
+    maintenance.purge(spark, store, now=200.0, grace=20.0, event_no=7)
+    assert files() == live
+    assert sorted(map(tuple, read_live(spark, root, "trades", store.silver()).collect())) == before
+    assert {r.status: r["count"] for r in store.silver().groupBy("status").count().collect()} == {
+        "written": 1, "purged": 5}
+
+
 def test_nanosecond_import(spark, tmp_path):
     when = dt.datetime(2025, 8, 1, 9, 0, 0, 123456)
     table = pa.table({"t": pa.array([when], pa.timestamp("ns", tz="UTC")), "v": [1]})
