@@ -66,16 +66,34 @@ def _history(spark, sf_dir):
     return landed.unionByName(marked)
 
 
-@query("q_status_fold", _EVENTS + """
+_FOLD = _EVENTS + """
 select f.sha as sha256, f.label, coalesce(l.status, f.status) as status, d.at as ingested_at,
   coalesce(length(l.error), 0) as error_length
-from first f left join last l on f.sha = l.sha left join done d on f.sha = d.sha""")
+from first f left join last l on f.sha = l.sha left join done d on f.sha = d.sha"""
+
+
+@query("q_status_fold", _FOLD)
 def status_fold(spark, sf_dir):
     state = M.fold_bronze(_history(spark, sf_dir))
     return state.select("sha256", "label", "status", "ingested_at",
                         F.coalesce(F.length("error"), F.lit(0)).cast("long").alias("error_length"))
 
 
+@query("q_state_rebase", _FOLD)
+def state_rebase(spark, sf_dir):
+    """The same history appended in three parts, the state so far made the base after
+    each of the first two: read from the last base and the events since."""
+    store = M.ManifestTables(spark, workspace(spark, "rebased"))
+    history = _history(spark, sf_dir)
+    part = F.pmod(F.xxhash64("sha256", "event_at", "status"), F.lit(3))
+    for n in range(3):
+        store.append_events(history.where(part == n))
+        if n < 2:
+            store.rebase()
+    return store.bronze().select("sha256", "label", "status", "ingested_at",
+                                 F.coalesce(F.length("error"), F.lit(0)).cast("long").alias("error_length"))
+
+
 @query("q_manifest_stats", f"""
 with {BRONZE}
 select 'bronze' as layer, status, count(*) as files from bronze_v group by all

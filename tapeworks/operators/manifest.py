@@ -95,6 +95,33 @@ def fold_silver(events: DataFrame) -> DataFrame:
                           else F.col(f"s.{f.name}").alias(f.name) for f in SILVER_SCHEMA.fields])
 
 
+def _event(events: DataFrame) -> Column:
+    return F.struct(*[F.col(c) for c in events.columns])
+
+
+def bronze_base(events: DataFrame) -> DataFrame:
+    """The few events of each digest that decide its state, now and with any later ones:
+    the first landing, the last status change and the last one to ``ingested``.
+
+    A fold takes least and greatest events, so folding these with what follows them
+    gives what all events would.
+    """
+    event, is_status = _event(events), F.col("kind") == "status"
+    first = F.when(F.col("kind") == "landed", F.struct("event_at", "event_no", "exchange", "label"))
+    last = F.when(is_status, F.struct("event_at", "event_no", "status"))
+    done = F.when(is_status & (F.col("status") == "ingested"), F.struct("event_at", "event_no"))
+    kept = F.array_distinct(F.array_compact(F.array("first", "last", "done")))
+    return events.groupBy("sha256").agg(
+        F.min_by(event, first).alias("first"), F.max_by(event, last).alias("last"),
+        F.max_by(event, done).alias("done")).select(F.explode(kept).alias("e")).select("e.*")
+
+
+def silver_base(events: DataFrame) -> DataFrame:
+    """The last event of each file."""
+    return events.groupBy("target_uri").agg(F.max_by(
+        _event(events), F.struct("written_at", "event_no")).alias("e")).select("e.*")
+
+
 # --- dedupe -----------------------------------------------------------------
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -165,7 +192,13 @@ def run_log_rows(outcomes: DataFrame, *, run_id: str, started_at: Column, ended_
 # --- storage ----------------------------------------------------------------
 
 class ManifestTables:
-    """Event tables below one folder.  One writer at a time; many readers."""
+    """Event tables below one folder.  One writer at a time; many readers.
+
+    Events are appended to the folder of the current epoch.  ``rebase`` reduces what
+    has been so far to a base and begins a new epoch: from then on a state is read
+    from the base and the events since, whatever the length of the history.  Old
+    epochs stay for reads of an earlier time.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -181,26 +214,63 @@ class ManifestTables:
     def _append(self, df: DataFrame, name: str) -> None:
         df.write.mode("append").parquet(f"{self.root}/{name}")
 
+    def _epoch(self, name: str) -> int:
+        """The newest epoch whose base is complete; there is a line for each."""
+        heads = self._read(f"{name}_heads", T.StructType([T.StructField("epoch", T.LongType())]))
+        return heads.agg(F.max("epoch")).first()[0] or 0
+
+    def _events(self, name: str, schema: T.StructType, *, every: bool = False) -> DataFrame:
+        """The base and the events since, or all events there have been."""
+        stored = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+        events = self._read(name, stored)
+        if every:
+            return events.drop("epoch")
+        epoch = self._epoch(name)
+        events = events.where(F.col("epoch") >= epoch)
+        if epoch:
+            events = events.unionByName(self._read(f"{name}_base", stored).where(F.col("epoch") == epoch))
+        return events.drop("epoch")
+
+    def _add(self, df: DataFrame, name: str) -> None:
+        self._append(df, f"{name}/epoch={self._epoch(name)}")
+
+    def rebase(self) -> None:
+        """Begin new epochs, each with a base of the state so far.
+
+        The line that makes a base the current one is written last; a base that a dead
+        run has left without one is replaced.
+        """
+        for name, schema, reduce in (("bronze_events", BRONZE_EVENT_SCHEMA, bronze_base),
+                                     ("silver_events", SILVER_EVENT_SCHEMA, silver_base)):
+            epoch = self._epoch(name) + 1
+            reduce(self._events(name, schema)).write.mode("overwrite").parquet(
+                f"{self.root}/{name}_base/epoch={epoch}")
+            self._append(self.spark.range(epoch, epoch + 1).toDF("epoch"), f"{name}_heads")
+
     def bronze(self) -> DataFrame:
-        return fold_bronze(self._read("bronze_events", BRONZE_EVENT_SCHEMA))
+        return fold_bronze(self._events("bronze_events", BRONZE_EVENT_SCHEMA))
 
     def silver(self, as_of: float | None = None) -> DataFrame:
         """Current silver table, or the one after all events up to ``as_of``."""
-        events = self._read("silver_events", SILVER_EVENT_SCHEMA)
+        events = self._events("silver_events", SILVER_EVENT_SCHEMA, every=as_of is not None)
         return fold_silver(events if as_of is None else events.where(F.col("written_at") <= as_of))
 
     def run_log(self) -> DataFrame:
         return self._read("run_log", RUN_LOG_SCHEMA)
 
+    def append_events(self, events: DataFrame) -> None:
+        """Bronze events in their stored form."""
+        self._add(_conform(events, BRONZE_EVENT_SCHEMA), "bronze_events")
+
     def land(self, rows: DataFrame) -> None:
-        self._append(landing_events(rows), "bronze_events")
+        self._add(landing_events(rows), "bronze_events")
 
     def mark(self, outcomes: DataFrame, event_at: Column) -> None:
-        self._append(status_events(outcomes, event_at), "bronze_events")
+        self._add(status_events(outcomes, event_at), "bronze_events")
 
     def record_silver(self, rows: DataFrame, event_no: int = 0) -> None:
-        self._append(_conform(rows.withColumn("event_no", F.lit(event_no)),
-                              SILVER_EVENT_SCHEMA), "silver_events")
+        self._add(_conform(rows.withColumn("event_no", F.lit(event_no)),
+                           SILVER_EVENT_SCHEMA), "silver_events")
 
     def log_run(self, rows: DataFrame) -> None:
         self._append(rows, "run_log")

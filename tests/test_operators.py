@@ -138,6 +138,34 @@ def test_lifecycle_in_tables(spark, tmp_path):
     assert counts == {("bronze", "failed"): 1, ("bronze", "downloaded"): 1}
 
 
+def test_a_base_stands_for_all_events(spark, tmp_path):
+    store = M.ManifestTables(spark, str(tmp_path))
+    silver = "target_uri string, table string, written_at double, status string, rows long"
+
+    def state():
+        return (sorted(map(tuple, store.bronze().collect())), sorted(map(tuple, store.silver().collect())))
+
+    store.rebase()  # nothing yet
+    for step in range(4):
+        store.land(bronze(spark, ("s", "x", f"l{step}", 10 - step, "downloaded"), (f"t{step}", "x", f"m{step}", 5, "downloaded")))
+        store.mark(spark.createDataFrame([("s", "ingested" if step % 2 else "failed", "e"), ("u", "failed", None)],
+                                         "sha256 string, status string, error string"), F.lit(20.0 - step))
+        store.record_silver(spark.createDataFrame([("f", "trades", float(step), f"s{step}", step)], silver))
+        before = state()
+        if step < 3:
+            store.rebase()
+        assert state() == before
+    # A rebase that died before its last line leaves the state as it is.
+    M.bronze_base(spark.createDataFrame([], M.BRONZE_EVENT_SCHEMA)).write.parquet(f"{tmp_path}/bronze_events_base/epoch=5")
+    assert state() == before and state()[0][0][0] == "s"
+    assert store.silver(as_of=1.0).first().status == "s1"
+    # Four rebases in: only the last epoch and its base are opened.
+    opened = {f.split("/bronze_")[1] for f in store._events("bronze_events", M.BRONZE_EVENT_SCHEMA).inputFiles()}
+    assert {f.rsplit("/", 1)[0] for f in opened if "epoch=4" in f} == {"events/epoch=4", "events_base/epoch=4"}
+    plan = store.bronze()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(epoch") == 2
+
+
 def test_status_before_landing_is_void(spark):
     landed = M.landing_events(bronze(spark, ("s", "x", "l", 10, "downloaded")))
     early = M.status_events(spark.createDataFrame([("s", "ingested", None)],
