@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from tapeworks import fixtures as X
 from tapeworks.catalog.registry import CENTS, NOTIONAL, duck_time, query
@@ -74,6 +74,23 @@ def sink_roundtrip(spark, sf_dir):
     return _by_day(read_silver(spark, folder, "trades"))
 
 
+@query("q_clustered_files", f"""
+with {TRADES} select {_PATH} as partition_path, count(*) as rows, true as in_order from trades_v group by 1""")
+def clustered_files(spark, sf_dir):
+    """Trades written in 100 ranges: the files of a directory follow one another in time."""
+    folder = workspace(spark, "clustered")
+    P.write_silver(X.trade_rows(spark, sf_dir), folder, "trades", ranges=100)
+    path = F.concat_ws("/", *P.DIRECTORY_COLUMNS)
+    files = read_silver(spark, folder, "trades").groupBy(path.alias("path"), F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), F.min("event_ts").alias("first"), F.max("event_ts").alias("last"))
+    before = F.lag("last").over(W.partitionBy("path").orderBy("first", "last"))
+    parts = F.split("path", "/")
+    return files.withColumn("before", before).groupBy(F.concat(*[x for i, n in enumerate((
+        "trades/exchange=", "/year=", "/month=", "/day=", "/instrument_type=")) for x in (
+            F.lit(n), parts[i])]).alias("partition_path")).agg(
+        F.sum("rows").alias("rows"), F.every(F.coalesce(F.col("first") >= F.col("before"), F.lit(True))).alias("in_order"))
+
+
 def _append(spark, manifest, folder, table, rows, at):
     pass_id = P.write_silver(rows, folder, table, lineage="bronze_sha256" in rows.columns)
     manifest.record_silver(P.silver_rows(P.written_files(

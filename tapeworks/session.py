@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # All market times are UTC; date parts and hash texts depend on it.
     "spark.sql.session.timeZone": "UTC",
+    # The default form of times in files has no statistics, so no filter could skip by them.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # A repeated JSON key is legal input: the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",

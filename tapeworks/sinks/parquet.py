@@ -52,15 +52,23 @@ def _sort_keys(df: DataFrame) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in SORT_COLUMNS if c in df.columns]
 
 
-def lay_out(df: DataFrame, partition_columns: tuple[str, ...]) -> DataFrame:
+def lay_out(df: DataFrame, partition_columns: tuple[str, ...], ranges: int | None = None) -> DataFrame:
     """Bring the rows of a directory together and sort them inside it.
 
     ``rebalance`` gives a directory few files and still splits one that holds a
     large share of all rows over many tasks (a plain repartition would send it
-    to one).  Partition columns lead the sort, so the writer adds no second one.
+    to one), but the files of such a directory cover the same times.
+
+    With ``ranges`` rows are dealt by sampled bounds of directory, time and ISIN to so
+    many tasks: a large directory is cut where its time is, and its files follow one
+    another.  The sample reads the input once more, so that is for tables.
+
+    Partition columns lead the sort, so the writer adds no second one.
     """
-    return (df.hint("rebalance", *[F.col(c) for c in partition_columns])
-            .sortWithinPartitions(*partition_columns, *_sort_keys(df)))
+    keys = [F.col(c) for c in partition_columns]
+    dealt = df.hint("rebalance", *keys) if ranges is None else df.repartitionByRange(
+        ranges, *keys, *_sort_keys(df))
+    return dealt.sortWithinPartitions(*partition_columns, *_sort_keys(df))
 
 
 def parquet_writer(df: DataFrame, *, compression: str = "snappy",
@@ -73,16 +81,17 @@ def parquet_writer(df: DataFrame, *, compression: str = "snappy",
 
 def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "snappy",
                  row_group_rows: int = ROW_GROUP_ROWS, lineage: bool = False,
-                 pass_id: str | None = None) -> str:
+                 pass_id: str | None = None, ranges: int | None = None) -> str:
     """Append rows of one table; returns the id its files carry in their path.
 
     A write that is repeated under the id of an earlier one replaces its files.
     With ``lineage`` the payload digest column ``bronze_sha256`` is stored behind
-    the table's own columns; readers of the pinned schema never see it.
+    the table's own columns; readers of the pinned schema never see it.  ``ranges``
+    clusters large directories by time (see ``lay_out``).
     """
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
     pass_id = pass_id or uuid.uuid4().hex
-    laid = lay_out(with_partition_columns(df.select(*names), pass_id), PARTITION_COLUMNS)
+    laid = lay_out(with_partition_columns(df.select(*names), pass_id), PARTITION_COLUMNS, ranges)
     conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = conf.get(key)
     conf.set(key, FILE_BYTES)

@@ -199,6 +199,25 @@ def test_a_repeated_pass_replaces_its_rows(spark, tmp_path):
         "written": 1, "expired": 1}
 
 
+def test_a_hot_directory_is_cut_by_time(spark, tmp_path):
+    """Files of one directory don't overlap, so a filter on time leaves most of them unread."""
+    at = dt.datetime(2025, 8, 1)
+    rows = trades(spark, *[{"seq": i, "event_ts": at + dt.timedelta(minutes=i * 7 % 1000)} for i in range(1000)])
+    P.write_silver(rows, str(tmp_path), "trades", ranges=8)
+    table = read_silver(spark, str(tmp_path), "trades")
+    spans = sorted(table.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("event_ts").alias("a"), F.max("event_ts").alias("b")).select("a", "b").collect())
+    assert len(spans) >= 6 and all(x.b <= y.a for x, y in zip(spans, spans[1:]))
+    some = table.where((F.col("event_ts") >= at + dt.timedelta(minutes=100)) & (
+        F.col("event_ts") < at + dt.timedelta(minutes=110))).select("seq")
+    assert some.count() == 10
+    execution = some._jdf.queryExecution().executedPlan()
+    some._jdf.collectToPython()
+    leaves = execution.collectLeaves()
+    read = [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+    assert 10 <= sum(read) <= 300
+
+
 def test_purge_deletes_what_nobody_needs(spark, tmp_path):
     store, root = ManifestTables(spark, str(tmp_path / "m")), str(tmp_path / "data")
     rows = trades(spark, *[{"seq": i, "event_ts": dt.datetime(2025, 8, 1 + i % 2)} for i in range(8)])
