@@ -12,7 +12,8 @@ stops with an error instead of guessing.  Each document then learns its winner b
 large groups, of which there are few by their very size, are broadcast, so the
 join that shuffles never sees a hot key.
 
-Null texts count as empty texts, and empty texts equal each other.  Among equal
+Null texts count as empty texts, and empty texts equal each other; texts of any
+length are compared whole.  Among equal
 texts the largest doc_id stays; repeated rows with that doc_id all carry
 ``kept`` (they can't be told apart).  A null doc_id never wins against another
 and is kept only if its whole group has null ids.  An empty table gives an empty

@@ -24,7 +24,7 @@ separate a pair at the threshold at depth two with a probability of about 8e-8 a
 most ``MISS``.
 
 Texts without words, null texts among them, have empty sets and link with
-nothing.  component_id is the smallest doc_id reachable.  Rows that repeat a
+nothing; a text longer than a chunk is a chunk of its own.  component_id is the smallest doc_id reachable.  Rows that repeat a
 doc_id are nodes with the same name.  Rows with a null doc_id stay out of the
 graph: their component_id is null and they are kept.  An empty table gives an
 empty result; other columns play no part.

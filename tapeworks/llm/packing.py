@@ -13,7 +13,8 @@
    fit is cut at a mark and its rest stays in the shard.
 
 A null text is empty and consists of its end id.  doc_id may be null or repeated;
-each row is packed once.  An empty table gives an empty result; other columns
+each row is packed once.  Neighbours of equal weight come in the shard's order.  A
+text longer than a slice is a slice of its own.  An empty table gives an empty result; other columns
 play no part.
 """
 

@@ -7,6 +7,7 @@ before.
 
 Null and empty texts have no words and fail the base rule; a document is judged
 by its own text alone, so ties, repeated rows and other columns play no part.
+A text longer than a slice is a slice of its own.
 An empty table gives an empty result.
 """
 

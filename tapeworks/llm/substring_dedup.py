@@ -15,7 +15,7 @@ windows from above.
 
 Sketches and shards are sized by the input; a hot window takes one entry for
 each chunk.  Null and empty texts, and texts shorter than a window, keep all
-their words.  Repeated rows are copies like any other: all of them lose the
+their words; a text longer than a chunk is a chunk of its own.  Repeated rows are copies like any other: all of them lose the
 shared windows.  doc_id may be null or repeated; it is only passed through.  An
 empty table gives an empty result; other columns play no part.
 """

@@ -19,7 +19,7 @@ earlier (smaller doc_id, or earlier in the same document).
    all but the earliest of them go.
 4. The spans return to their chunks, where the bytes are cut out.
 
-Null and empty texts have no bytes.  Rows with the same doc_id count as
+Null and empty texts have no bytes; a text longer than a chunk is a chunk of its own.  Rows with the same doc_id count as
 documents of their own, one after the other; null doc_ids come last.  Matches
 never cross documents.  An empty table gives an empty result; other columns play
 no part.

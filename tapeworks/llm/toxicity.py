@@ -13,7 +13,8 @@ doc_id; everything else runs over all documents.  Labels of one document that
 contradict each other count as toxic; null labels are left out.
 
 Null and empty texts have no match and get the score of a text without any.
-Rows are scored one by one, so repeated rows and ties play no part.  Without
+Rows are scored one by one, so repeated rows and ties play no part; a text longer
+than a slice is a slice of its own.  Without
 labelled rows of both classes the lexicon is empty and all scores are equal.
 An empty table gives an empty result; other columns are not looked at.
 """
