@@ -393,3 +393,22 @@ def test_repeated_and_missing_ids(odd_ids, name):
     if name == "exact":
         assert {(r.doc_id, r.keep_id, r.group_size) for r in found} == {
             (1, 2, 4), (2, 2, 4), (None, 2, 4), (None, 3, 2), (3, 3, 2)}
+
+
+def test_a_text_longer_than_a_chunk(spark):
+    """Over four megabytes in one text, with a passage that a short one shares."""
+    passage = prose(77, 60)
+    words = [f"w{i}" for i in range(650_000)]
+    long = " ".join([*words[:400_000], passage, *words[400_000:]])
+    assert len(long) > 4 << 20
+    docs = spark.createDataFrame([(1, long), (2, passage + " tail end"), (3, "short")], "doc_id long, text string")
+    n = len(brute.split(long))
+    assert collected(substring_dedup.repeated_words(docs), "doc_id", "n_words", "n_removed") == [
+        (1, n, 60), (2, 62, 60), (3, 1, 0)]
+    assert collected(suffix_dedup.later_bytes(docs), "doc_id", "n_bytes", "n_removed", "n_spans") == [
+        (1, len(long.encode()), 0, 0), (2, len(passage.encode()) + 9, len(passage.encode()) + 1, 1), (3, 5, 0, 0)]
+    assert collected(forest_dedup.clusters(docs), "doc_id", "n_shingles", "component_id") == [
+        (1, n - 4, 1), (2, 58, 2), (3, 1, 3)]
+    assert collected(exact_dedup.group(docs), "doc_id", "keep_id", "group_size") == [
+        (1, 1, 1), (2, 2, 1), (3, 3, 1)]
+    assert [r[1] for r in collected(quality.score(docs), "doc_id", "n_words")] == [n, 62, 1]
