@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tapeworks.plans.ingest import parquet_sink
+from tapeworks.session import configure
 from tapeworks.sources.silver import read_silver
 from tapeworks.operators import dq
 from tapeworks.streaming import passes as S
@@ -95,6 +96,27 @@ def test_silent_feeds_have_hours_and_fail_the_gate(spark, tmp_path):
         (3, "DQ: exchange=busy failure rate 1/4=25% exceeds max=10%")]
 
 
+def test_a_session_with_the_default_state_store_gives_hours(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    # What a session has that wasn't built by this package.
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        configure(spark)
+        spark.createDataFrame([("s", "a", "ok", dt.datetime(2025, 8, 1, 9))],
+                              "sha256 string, exchange string, status string, scraped_ts timestamp"
+                              ).write.parquet(str(tmp_path / "in"))
+        stream = S.stream_folder(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+        lines = feed_hours(stream, spark.createDataFrame([("quiet",)], "exchange string"),
+                           since=1754006400, shards=1)
+        S.append_stream(lines, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")).awaitTermination()
+        got = spark.read.schema(lines.schema).parquet(str(tmp_path / "out")).where("exchange = 'quiet'")
+        # The watermark is an hour behind the file of nine o'clock.
+        assert [r.files for r in got.collect()] == [0] * 8
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_every_row_is_kept_late_or_a_repeat(spark, tmp_path):
     def at(hour):
         return dt.datetime(2025, 8, 1) + dt.timedelta(hours=hour)
