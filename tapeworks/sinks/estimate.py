@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tapeworks.functions.layout import partition_dir
 from tapeworks.schema import SCHEMAS
-from tapeworks.sinks.parquet import PARTITION_COLUMNS, ROW_GROUP_ROWS, lay_out, with_partition_columns
+from tapeworks.sinks.parquet import ROW_GROUP_ROWS, silver_layout
 
 # Executors need pyarrow, but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,8 +48,7 @@ def estimate(df: DataFrame, table: str, *, compression: str = "snappy", row_grou
     """
     stored = T.StructType(SCHEMAS[table].fields)
     where = partition_dir(table, F.col("exchange"), F.col("event_ts"), F.col("instrument_type"))
-    laid = lay_out(with_partition_columns(df.select(*stored.names), ""), PARTITION_COLUMNS).select(
-        where.alias("partition_path"), *stored.names)
+    laid = silver_layout(df.select(*stored.names), "").select(where.alias("partition_path"), *stored.names)
     schema_text = len(json.dumps(json.loads(stored.json())))
     names = stored.names
 

@@ -15,8 +15,11 @@ DIRECTORY_COLUMNS = ("p_exchange", "p_year", "p_month", "p_day", "p_instrument_t
 # The innermost directory names the write, so a write finds its own files again
 # and one that is repeated replaces them.
 PARTITION_COLUMNS = (*DIRECTORY_COLUMNS, "p_pass")
-# In-memory bytes behind one file; Spark's default would make files far too small.
-FILE_BYTES = "512m"
+# Shuffled bytes behind one file, which one task reads and sorts; Spark's default would make
+# files too small.  A full file has to be larger than what compaction calls small.
+FILE_BYTES = "192m"
+# Columns that hold digests, mostly: they travel as bytes.
+DIGEST_COLUMNS = ("source_msg_hash", "bronze_sha256")
 SORT_COLUMNS = ("event_ts", "isin", "seq")
 ROW_GROUP_ROWS = 65_536
 
@@ -41,11 +44,14 @@ def never_constant(value: Column) -> Column:
     return F.concat(value, F.left(F.date_format("event_ts", "yyyy"), F.lit(0)))
 
 
-def with_partition_columns(df: DataFrame, pass_id: str) -> DataFrame:
+def _directory() -> list[Column]:
     year, month, day = date_parts(F.col("event_ts"))
+    return [path_value(F.col("exchange")), year, month, day, path_value(F.col("instrument_type"))]
+
+
+def with_partition_columns(df: DataFrame, pass_id: str) -> DataFrame:
     return df.withColumns(dict(zip(PARTITION_COLUMNS, (
-        path_value(F.col("exchange")), year, month, day,
-        path_value(F.col("instrument_type")), never_constant(F.lit(pass_id))))))
+        *_directory(), never_constant(F.lit(pass_id))), strict=True)))
 
 
 def _sort_keys(df: DataFrame) -> list[Column]:
@@ -71,6 +77,38 @@ def lay_out(df: DataFrame, partition_columns: tuple[str, ...], ranges: int | Non
     return dealt.sortWithinPartitions(*partition_columns, *_sort_keys(df))
 
 
+def packed(text: Column) -> Column:
+    """A text as bytes: a lower-case hex text by its value, any other as it is."""
+    value = F.unhex(text)
+    return F.when(F.lower(F.hex(value)) == text, F.concat(F.lit(b"\1"), value)).otherwise(
+        F.concat(F.lit(b"\0"), text.cast("binary")))
+
+
+def unpacked(data: Column) -> Column:
+    rest = F.substr(data, F.lit(2))
+    return F.when(F.substr(data, F.lit(1), F.lit(1)) == F.lit(b"\1"), F.lower(F.hex(rest))).otherwise(
+        rest.cast("string"))
+
+
+def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None) -> DataFrame:
+    """Rows with their path columns, laid out as by ``lay_out``.
+
+    Little is moved: digests travel as bytes, and the path columns are made where the
+    rows arrive.  On the way a number stands for the directory; should two share one,
+    they are in the same tasks and still two directories.
+    """
+    names = df.columns
+    digests = [c for c in DIGEST_COLUMNS if c in names]
+    rows = df.withColumns({c: packed(F.col(c)) for c in digests})
+    if ranges is None:
+        dealt = rows.withColumn("_directory", F.xxhash64(*_directory())).hint("rebalance", F.col("_directory"))
+    else:
+        dealt = rows.repartitionByRange(ranges, *_directory(), *_sort_keys(df))
+    placed = with_partition_columns(dealt.select(*names), pass_id)
+    return placed.sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df)).withColumns(
+        {c: unpacked(F.col(c)) for c in digests})
+
+
 def parquet_writer(df: DataFrame, *, compression: str = "snappy",
                    row_group_rows: int = ROW_GROUP_ROWS):
     return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -91,7 +129,7 @@ def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "sn
     """
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
     pass_id = pass_id or uuid.uuid4().hex
-    laid = lay_out(with_partition_columns(df.select(*names), pass_id), PARTITION_COLUMNS, ranges)
+    laid = silver_layout(df.select(*names), pass_id, ranges)
     conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = conf.get(key)
     conf.set(key, FILE_BYTES)

@@ -140,6 +140,25 @@ def test_files_are_sorted_in_limited_row_groups(spark, tmp_path):
     assert plan._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
 
 
+def test_digests_and_directories_travel_light(spark, tmp_path):
+    texts = ["", "ab", "AB", "abc", "zz", None, "0a" * 32, "\u00e9", "\x01ab"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", P.packed(F.col("t")).alias("p"))
+    got = df.select("t", P.unpacked(F.col("p")).alias("back"), F.octet_length("p").alias("n")).collect()
+    assert [r.back for r in got] == texts
+    assert {r.t: r.n for r in got}["0a" * 32] == 33
+    rows = trades(spark, *[{"seq": i, "source_msg_hash": t} for i, t in enumerate(texts)])
+    P.write_silver(rows, str(tmp_path), "trades")
+    back = read_silver(spark, str(tmp_path), "trades").orderBy("seq").collect()
+    assert [r.source_msg_hash for r in back] == texts
+    plan = P.silver_layout(rows, "p")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange ") == 1
+    moved = plan[plan.index("Exchange "):]
+    # The path columns are made behind the shuffle, where rows arrive.
+    assert "p_exchange" not in moved and "p_pass" not in moved
+    assert P.FILE_BYTES == "192m"  # what one task reads and sorts
+
+
 def test_pruning_reaches_the_scan(spark, tmp_path):
     P.write_silver(trades(spark, {"seq": 1}, {"seq": 2, "exchange": "B"}), str(tmp_path), "trades")
     df = read_silver(spark, str(tmp_path), "trades").where(
