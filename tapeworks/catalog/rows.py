@@ -71,7 +71,9 @@ with {TRADES} select exchange, count(*) as trades,
   count(distinct {duck_trade_hash()}) as kept from trades_v group by 1""")
 def dedupe_hash(spark, sf_dir):
     rows = X.trade_rows(spark, sf_dir)
-    kept = M.first_per_key(rows, ["source_msg_hash"], ["event_ts", "seq"])
+    # Every column given to the operator travels with its row.
+    kept = M.first_per_key(rows.select("source_msg_hash", "event_ts", "seq", "exchange"),
+                           ["source_msg_hash"], ["event_ts", "seq"])
     return (rows.groupBy("exchange").agg(F.count("*").alias("trades"))
             .join(kept.groupBy("exchange").agg(F.count("*").alias("kept")), "exchange"))
 
