@@ -301,3 +301,14 @@ def test_payloads_by_uri(spark, tmp_path):
 
 def test_required_columns_are_pinned():
     assert [len(SCHEMAS[t].fields) for t in ("trades", "quotes", "bars")] == [26, 25, 27]
+
+
+def test_drift_files_code_single_bytes(spark):
+    """Digests are most of a row: under snappy they kept their hexadecimal size."""
+    from pathlib import Path
+
+    from tapeworks.catalog import QUERIES
+    QUERIES["q_schema_drift"](spark, "/root/testdata/sf0.001")
+    base = Path(spark.conf.get("spark.checkpoint.dir")) / "tapeworks"
+    files = [p.name for p in base.glob("drift-*/*.parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
