@@ -22,3 +22,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_its_sql(spark, name):
     assert differences(spark, database(SF_DIR), name, SF_DIR) == []
+
+
+def test_hash_dedupe_moves_only_what_is_used(spark):
+    plan = QUERIES["q_dedupe_hash"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" in plan and "source_file" not in plan
