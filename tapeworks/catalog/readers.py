@@ -15,7 +15,7 @@ from tapeworks.session import workspace
 from tapeworks.sinks import parquet as P
 from tapeworks.sources.payloads import attach_content, is_virtual, scan_payload_files
 from tapeworks.sources.reference_data import legacy_bronze_rows, read_label_list, read_master_csv
-from tapeworks.sources.silver import read_nanosecond_parquet
+from tapeworks.sources.silver import read_nanosecond_parquet, read_silver
 
 
 @query("q_payload_files", """
@@ -117,11 +117,16 @@ def label_files(spark, sf_dir):
 select codec, count(*) as rows, cast(sum(l_quantity) as bigint) as size
 from lineitem, (values ('gz'), ('snappy'), ('zstd')) codecs(codec) group by 1""")
 def file_codecs(spark, sf_dir):
-    """Every trade written with each compression; the codec is read off the file names."""
+    """Every trade written with each compression; the codec is read off the file names.
+
+    The first write lays the rows out; the others take them as they lie in its files.
+    """
     rows, parts = X.trade_rows(spark, sf_dir), []
     for codec in ("gzip", "snappy", "zstd"):
         folder = workspace(spark, f"codec-{codec}")
-        P.write_silver(rows, folder, "trades", compression=codec, row_group_rows=5_000)
+        P.write_silver(rows, folder, "trades", compression=codec, row_group_rows=5_000, dealt=bool(parts))
+        if not parts:
+            rows = read_silver(spark, folder, "trades")
         name = F.regexp_extract(F.col("_metadata.file_name"), r"([a-z]+)\.parquet$", 1)
         parts.append(spark.read.parquet(f"{folder}/trades").select(name.alias("codec"), "trade_size"))
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -90,21 +90,24 @@ def unpacked(data: Column) -> Column:
         rest.cast("string"))
 
 
-def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None) -> DataFrame:
+def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None, dealt: bool = False) -> DataFrame:
     """Rows with their path columns, laid out as by ``lay_out``.
 
     Little is moved: digests travel as bytes, and the path columns are made where the
     rows arrive.  On the way a number stands for the directory; should two share one,
-    they are in the same tasks and still two directories.
+    they are in the same tasks and still two directories.  Rows that are ``dealt``
+    already stay in their tasks and are sorted there.
     """
     names = df.columns
+    if dealt:
+        return with_partition_columns(df, pass_id).sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df))
     digests = [c for c in DIGEST_COLUMNS if c in names]
     rows = df.withColumns({c: packed(F.col(c)) for c in digests})
     if ranges is None:
-        dealt = rows.withColumn("_directory", F.xxhash64(*_directory())).hint("rebalance", F.col("_directory"))
+        laid = rows.withColumn("_directory", F.xxhash64(*_directory())).hint("rebalance", F.col("_directory"))
     else:
-        dealt = rows.repartitionByRange(ranges, *_directory(), *_sort_keys(df))
-    placed = with_partition_columns(dealt.select(*names), pass_id)
+        laid = rows.repartitionByRange(ranges, *_directory(), *_sort_keys(df))
+    placed = with_partition_columns(laid.select(*names), pass_id)
     return placed.sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df)).withColumns(
         {c: unpacked(F.col(c)) for c in digests})
 
@@ -119,17 +122,19 @@ def parquet_writer(df: DataFrame, *, compression: str = "snappy",
 
 def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "snappy",
                  row_group_rows: int = ROW_GROUP_ROWS, lineage: bool = False,
-                 pass_id: str | None = None, ranges: int | None = None) -> str:
+                 pass_id: str | None = None, ranges: int | None = None,
+                 dealt: bool = False) -> str:
     """Append rows of one table; returns the id its files carry in their path.
 
     A write that is repeated under the id of an earlier one replaces its files.
     With ``lineage`` the payload digest column ``bronze_sha256`` is stored behind
     the table's own columns; readers of the pinned schema never see it.  ``ranges``
-    clusters large directories by time (see ``lay_out``).
+    clusters large directories by time (see ``lay_out``).  Rows that come from files of
+    this layout are ``dealt``: they are written again without being moved.
     """
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
     pass_id = pass_id or uuid.uuid4().hex
-    laid = silver_layout(df.select(*names), pass_id, ranges)
+    laid = silver_layout(df.select(*names), pass_id, ranges, dealt)
     conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = conf.get(key)
     conf.set(key, FILE_BYTES)

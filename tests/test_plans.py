@@ -159,6 +159,20 @@ def test_digests_and_directories_travel_light(spark, tmp_path):
     assert P.FILE_BYTES == "192m"  # what one task reads and sorts
 
 
+
+def test_laid_out_rows_are_written_again_without_being_moved(spark, tmp_path):
+    rows = trades(spark, *[{"seq": i, "exchange": "AB"[i % 2], "isin": None if i % 3 else "X"} for i in range(40)])
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    P.write_silver(rows, first, "trades", compression="gzip")
+    stored = read_silver(spark, first, "trades")
+    P.write_silver(stored, second, "trades", compression="zstd", dealt=True)
+    names = [*rows.columns, *P.DIRECTORY_COLUMNS]
+    again = read_silver(spark, second, "trades").select(*names)
+    assert again.count() == 40 and again.exceptAll(stored.select(*names)).count() == 0
+    plan = P.silver_layout(stored.select(*rows.columns), "p", dealt=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" in plan
+
+
 def test_pruning_reaches_the_scan(spark, tmp_path):
     P.write_silver(trades(spark, {"seq": 1}, {"seq": 2, "exchange": "B"}), str(tmp_path), "trades")
     df = read_silver(spark, str(tmp_path), "trades").where(
