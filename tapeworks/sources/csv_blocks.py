@@ -90,11 +90,28 @@ class _Limit:
             raise ValueError(f"a record of {file} has more than {self.most} bytes")
 
 
-def block_ends(lines: DataFrame, separator: bytes, most: int) -> DataFrame:
+def block_ends(lines: DataFrame, separator: bytes, most: int, with_header: bool = True) -> DataFrame:
     """``file, block, from_out, from_in, header``: one line for each block.
 
-    The header, a file's first record, comes with its first block if it ends there.
+    The header, a file's first record, comes with its first block if it ends there.  A line
+    without a quote ends where it begins, so only the others are looked at, and, if the
+    header is wanted, the lines of first blocks.
     """
+    telling = told_lines(lines, with_header)
+    # A block without any of them ends as it begins.
+    blocks = lines.select("file", "block").distinct()
+    found = _scanned_ends(telling, separator, most, with_header)
+    return blocks.join(found, ["file", "block"], "left").select(
+        "file", "block", F.coalesce("from_out", F.lit(False)).alias("from_out"),
+        F.coalesce("from_in", F.lit(True)).alias("from_in"), "header")
+
+
+def told_lines(lines: DataFrame, with_header: bool) -> DataFrame:
+    quoted = F.contains(F.col("value"), F.lit(b'"'))
+    return lines.where(quoted | (F.col("block") == 0) if with_header else quoted)
+
+
+def _scanned_ends(lines: DataFrame, separator: bytes, most: int, with_header: bool) -> DataFrame:
     limit = _Limit(most)
     schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("from_out", pa.bool_()),
                         ("from_in", pa.bool_()), ("header", pa.binary())])
@@ -110,7 +127,8 @@ def block_ends(lines: DataFrame, separator: bytes, most: int) -> DataFrame:
             for file, block, part in spans(batch):
                 if (file, block) != at:
                     rows += told()
-                    at, ends, header, done = (file, block), (False, True), [], block != 0
+                    at, ends, header = (file, block), (False, True), []
+                    done = block != 0 or not with_header
                 out, inside = line_ends(part.column("value"))
                 first = after_lines(out, inside, ends[0])
                 if not done:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.schema import SCHEMAS
 from tapeworks.operators.validate import schema_drift
-from tapeworks.sources import json_documents as jd, rts13
+from tapeworks.sources import csv_blocks, json_documents as jd, rts13
 from tapeworks.sources.reference_data import read_label_list, read_master_csv
 from tapeworks.sources.payloads import attach_content, scan_payload_files
 
@@ -156,6 +156,24 @@ def test_quoted_line_breaks_across_blocks(spark, tmp_path, small_blocks):
     assert max(r[1] for r in got) > 70 and any("\r\n" in (r[4] or "") for r in got)
 
 
+def test_lines_without_quotes_tell_nothing_of_block_ends(spark, tmp_path, small_blocks):
+    header = ["TradingDateTime", "ISIN", "Price"]
+    lines = [",".join(header), '2025-08-01T00:00:00Z,"' + "long\n" * 600 + '",1',
+             *[f"2025-08-01T00:00:{i % 60:02d}Z,I{i},{i}" for i in range(80)]]
+    (tmp_path / "f.csv").write_text("\n".join(lines) + "\n")
+    got = plain(rts13.read_rts13_files(spark, str(tmp_path), exchange="X", header=header))
+    assert got == plain(as_payloads(spark, tmp_path)) and len(got) == 81
+    text = csv_blocks.text_lines(spark, str(tmp_path), "\n")
+    ends = csv_blocks.block_ends(text, b"\n", 1 << 20)
+    plan = ends._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan or "contains(" in plan.lower()
+    assert csv_blocks.told_lines(text, False).count() == 2
+    # Blocks without a quote have their line, and end as they begin.
+    told = {r.block: (r.from_out, r.from_in) for r in ends.collect()}
+    assert len(told) == text.select("block").distinct().count()
+    assert sum(t == (False, True) for t in told.values()) == len(told) - 2
+
+
 def test_a_record_must_fit_its_bound(spark, tmp_path, small_blocks):
     (tmp_path / "f.csv").write_text('TradingDateTime,ISIN\n2025-08-01,"' + "open\n" * 400)
     with pytest.raises(Exception, match="has more than 1000 bytes"):
