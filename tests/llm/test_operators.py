@@ -135,6 +135,67 @@ def test_lm_beats_the_base_where_texts_repeat(spark):
     assert scores[0] > scores[1]
 
 
+def test_lm_reads_running_text(spark):
+    """A held-out text scores higher than its words in another order: the order of the
+    training texts is part of the model."""
+    names = [f"w{i}" for i in range(200)]
+    phrase = [[names[(7 * i + k * (i % 5 + 1)) % 200] for k in range(12)] for i in range(40)]
+    texts = [(i, " ".join(w for j in range(8) for w in phrase[(i * 3 + j * j) % 40])) for i in range(70)]
+    held = next(i for i, _ in texts if zlib.crc32(str(i).encode()) % 7 == 2)
+    # The next held-out number carries the same words in an order of its own.
+    other = next(i for i in range(70, 200) if zlib.crc32(str(i).encode()) % 7 == 2)
+    texts.append((other, " ".join(sorted(texts[held][1].split(), key=lambda w: zlib.crc32(w.encode()) % 97))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r for r in lm_mixing.scored(docs, checksum() % 7 != 2).collect()}
+    assert found[held].base_score == pytest.approx(found[other].base_score)
+    # Known words: without contexts across words both have the price of their words.
+    assert found[held].n_known == found[held].n_tokens
+    assert found[held].score > 0.7 * found[other].score
+
+
+def test_lm_running_text_is_a_distribution():
+    """Whatever the choice has learned, the mixed probabilities of all next tokens add up to one."""
+    n, follow, total = 6, np.array([4, 0, 3, 1, 0, 2]), 0.0
+    for nxt in range(n):
+        pair = np.concatenate((np.tile([2, 3, 0], 20), [follow[nxt]]))
+        context = np.concatenate((np.full(60, 7), [follow.sum()]))
+        names = (np.arange(61, dtype=np.uint64) + np.uint64(5)) << np.uint64(50)
+        cost = np.full(61, math.log10(1 / n))
+        score = lm_mixing.in_text(cost, pair, context, names, np.zeros(61, np.int64),
+                                  np.concatenate((np.ones(60, bool), [False])), cost)
+        total += 10.0 ** score[-1]
+    assert total == pytest.approx(1)
+
+
+def plain_pairs(texts):
+    """Training counts of (word before, word), an end standing before and behind each text."""
+    found = Counter()
+    for words in texts:
+        found.update(zip([None, *words], [*words, None], strict=True))
+    return found
+
+
+def test_lm_counts_pairs_over_all_chunks(spark, monkeypatch):
+    """The counts that a chunk hears of are those of all training texts, in whatever chunks."""
+    texts = [(i, " ".join(f"w{(i * i + k) % 11}" for k in range(i % 9))) for i in range(60)] + [(60, None)]
+    train = [brute.split(t or "") for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    want = plain_pairs(train)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+
+    # No choice is made, so a token scores what its context says alone.
+    def context_only(cost, pair, context, names, doc, own, alone):
+        return pair * 1000.0 + context
+
+    monkeypatch.setattr(lm_mixing, "in_text", context_only)
+    before = Counter()
+    for (a, _), n in want.items():
+        before[a] += n
+    for r in lm_mixing.scored(docs, checksum() % 7 != 2).collect():
+        words = brute.split(dict(texts)[r.doc_id] or "")
+        steps = list(zip([None, *words], [*words, None], strict=True))
+        assert r.score == sum(1000.0 * want[s] + before[s[0]] for s in steps)
+
+
 def plain_quality(text):
     words, lines = brute.split(text), (text or "").split("\n")
     seen, dup = set(), 0
