@@ -14,8 +14,9 @@ def partition_value(value: Column) -> Column:
 
 
 def date_parts(event_ts: Column) -> tuple[Column, Column, Column]:
-    return (F.date_format(event_ts, "yyyy"), F.date_format(event_ts, "MM"),
-            F.date_format(event_ts, "dd"))
+    # Formatting a time is dear, so it is done once; a year may have more than four characters.
+    day = F.date_format(event_ts, "yyyy-MM-dd")
+    return F.substring_index(day, "-", 1), F.substring(day, -5, 2), F.substring(day, -2, 2)
 
 
 def partition_dir(table: str | Column, exchange: Column, event_ts: Column,

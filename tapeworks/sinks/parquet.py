@@ -41,7 +41,7 @@ def path_value(value: Column) -> Column:
 
 
 def never_constant(value: Column) -> Column:
-    return F.concat(value, F.left(F.date_format("event_ts", "yyyy"), F.lit(0)))
+    return F.concat(value, F.left(date_parts(F.col("event_ts"))[0], F.lit(0)))
 
 
 def _directory() -> list[Column]:
@@ -49,6 +49,15 @@ def _directory() -> list[Column]:
     return [path_value(F.col("exchange")), year, month, day, path_value(F.col("instrument_type"))]
 
 
+def _directory_order() -> list[Column]:
+    """Keys in whose order directories follow one another: dates in place of their parts.
+
+    Dealing by ranges computes its keys twice for each row, for the sample too.
+    """
+    return [partition_value(F.col("exchange")), F.to_date("event_ts"),
+            partition_value(F.col("instrument_type"))]
+
+
 def with_partition_columns(df: DataFrame, pass_id: str) -> DataFrame:
     return df.withColumns(dict(zip(PARTITION_COLUMNS, (
         *_directory(), never_constant(F.lit(pass_id))), strict=True)))
@@ -106,7 +115,7 @@ def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None, dealt:
     if ranges is None:
         laid = rows.withColumn("_directory", F.xxhash64(*_directory())).hint("rebalance", F.col("_directory"))
     else:
-        laid = rows.repartitionByRange(ranges, *_directory(), *_sort_keys(df))
+        laid = rows.repartitionByRange(ranges, *_directory_order(), *_sort_keys(df))
     placed = with_partition_columns(laid.select(*names), pass_id)
     return placed.sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df)).withColumns(
         {c: unpacked(F.col(c)) for c in digests})

@@ -165,3 +165,11 @@ def test_anchors_of_a_long_page(spark):
     got = [(r[0], len(r[1])) for r in df.select(links.anchor_attribute(F.col("a"), "href"),
                                                links.anchor_text(F.col("a"))).collect()]
     assert got == [("u", 20_000), ("z", 4)]
+
+
+def test_date_parts_are_formats_of_their_own(spark):
+    days = spark.sql("""select make_timestamp(y, m, d, 23, 59, 59.5) as t
+      from values (1, 1, 9), (999, 12, 31), (1999, 2, 28), (2025, 8, 1), (9999, 10, 10), (12345, 6, 7), (null, 1, 1) as v(y, m, d)""")
+    for r in days.select(F.array(*layout.date_parts(F.col("t"))).alias("got"), F.array(
+            *[F.date_format("t", f) for f in ("yyyy", "MM", "dd")]).alias("want")).collect():
+        assert r.got == r.want

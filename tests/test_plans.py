@@ -232,6 +232,15 @@ def test_a_repeated_pass_replaces_its_rows(spark, tmp_path):
         "written": 1, "expired": 1}
 
 
+def test_range_keys_cost_little(spark):
+    """The keys of ranges are computed twice for each row: no time is formatted for them."""
+    rows = trades(spark, {"trade_id": "1"})
+    plan = P.silver_layout(rows, "p", ranges=8)._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "rangepartitioning" in line]
+    below = plan[plan.index(keys[0]):]
+    assert len(keys) == 1 and "date_format" not in below
+
+
 def test_a_hot_directory_is_cut_by_time(spark, tmp_path):
     """Files of one directory don't overlap, so a filter on time leaves most of them unread."""
     at = dt.datetime(2025, 8, 1)
