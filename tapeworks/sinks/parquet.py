@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tapeworks.functions.layout import date_parts, partition_dir, partition_value
 from tapeworks.schema import SCHEMAS
+from tapeworks.session import SHUFFLED_ONCE, settings
 
 # Path columns have names of their own, so the values inside the files stay
 # readable as they were written (a path only holds the cleaned text).
@@ -18,8 +19,15 @@ PARTITION_COLUMNS = (*DIRECTORY_COLUMNS, "p_pass")
 # Shuffled bytes behind one file, which one task reads and sorts; Spark's default would make
 # files too small.  A full file has to be larger than what compaction calls small.
 FILE_BYTES = "192m"
+# Bytes of files that one task reads and sorts when rows are written again; sorted rows take
+# about ten times their bytes in a file, and what doesn't fit a task's memory is spilled.
+DEALT_BYTES = "48m"
 # Columns that hold digests, mostly: they travel as bytes.
 DIGEST_COLUMNS = ("source_msg_hash", "bronze_sha256")
+# Columns that differ from row to row, in the order in which they travel, behind those that repeat:
+# texts of one length, texts of varying length, which shift what is behind them, and numbers.
+MOVED_LAST = (*DIGEST_COLUMNS, "isin", "trade_id", "ticker", "figi", "trade_flag_canonical",
+              "trade_flags_raw", "seq", "event_ts")
 SORT_COLUMNS = ("event_ts", "isin", "seq")
 ROW_GROUP_ROWS = 65_536
 
@@ -99,6 +107,21 @@ def unpacked(data: Column) -> Column:
         rest.cast("string"))
 
 
+def moved_order(df: DataFrame) -> list[str]:
+    """The columns in the order in which they travel.
+
+    A shuffle's compression finds what repeats from row to row if it is at the same place
+    in each.  Other numbers than those of ``MOVED_LAST`` are the very last.
+    """
+    def rank(field: T.StructField) -> int:
+        if field.name in MOVED_LAST:
+            return 1 + MOVED_LAST.index(field.name)
+        numbers = (T.DoubleType, T.LongType, T.IntegerType)
+        return 1 + len(MOVED_LAST) if isinstance(field.dataType, numbers) else 0
+
+    return [f.name for f in sorted(df.schema.fields, key=rank)]
+
+
 def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None, dealt: bool = False) -> DataFrame:
     """Rows with their path columns, laid out as by ``lay_out``.
 
@@ -106,19 +129,24 @@ def silver_layout(df: DataFrame, pass_id: str, ranges: int | None = None, dealt:
     rows arrive.  On the way a number stands for the directory; should two share one,
     they are in the same tasks and still two directories.  Rows that are ``dealt``
     already stay in their tasks and are sorted there.
+
+    Little is sorted, too: the pass is the same for all rows, so it is no part of them
+    until they are written.
     """
     names = df.columns
+    digests = [] if dealt else [c for c in DIGEST_COLUMNS if c in names]
+    rows = df.withColumns({c: packed(F.col(c)) for c in digests}).select(*moved_order(df))
     if dealt:
-        return with_partition_columns(df, pass_id).sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df))
-    digests = [c for c in DIGEST_COLUMNS if c in names]
-    rows = df.withColumns({c: packed(F.col(c)) for c in digests})
-    if ranges is None:
+        laid = df
+    elif ranges is None:
         laid = rows.withColumn("_directory", F.xxhash64(*_directory())).hint("rebalance", F.col("_directory"))
     else:
         laid = rows.repartitionByRange(ranges, *_directory_order(), *_sort_keys(df))
-    placed = with_partition_columns(laid.select(*names), pass_id)
-    return placed.sortWithinPartitions(*PARTITION_COLUMNS, *_sort_keys(df)).withColumns(
-        {c: unpacked(F.col(c)) for c in digests})
+    placed = laid.select(*names).withColumns(dict(zip(DIRECTORY_COLUMNS, _directory(), strict=True)))
+    # Cheap, as rows that are compared have it made; Spark knows it again behind the sort.
+    own = F.concat(F.lit(pass_id), F.left("p_day", F.lit(0)))
+    return (placed.sortWithinPartitions(*DIRECTORY_COLUMNS, own, *_sort_keys(df))
+            .withColumn("p_pass", own).withColumns({c: unpacked(F.col(c)) for c in digests}))
 
 
 def parquet_writer(df: DataFrame, *, compression: str = "snappy",
@@ -144,14 +172,11 @@ def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "sn
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
     pass_id = pass_id or uuid.uuid4().hex
     laid = silver_layout(df.select(*names), pass_id, ranges, dealt)
-    conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = conf.get(key)
-    conf.set(key, FILE_BYTES)
-    try:
+    with settings(df.sparkSession, {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES,
+            **({"spark.sql.files.maxPartitionBytes": DEALT_BYTES} if dealt else {}), **SHUFFLED_ONCE}):
         (parquet_writer(laid, compression=compression, row_group_rows=row_group_rows)
          .partitionBy(*PARTITION_COLUMNS).parquet(f"{root}/{table}"))
-    finally:
-        conf.set(key, before)
     return pass_id
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import random
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -173,6 +174,58 @@ def test_laid_out_rows_are_written_again_without_being_moved(spark, tmp_path):
     assert "Exchange" not in plan and "Sort" in plan
 
 
+def test_rows_written_again_are_sorted_in_small_pieces(spark, tmp_path, monkeypatch):
+    """A task sorts as many rows as fit its memory, whatever a session reads at once."""
+    start = dt.datetime(2025, 8, 1)
+    rows = trades(spark, *[{"seq": i, "exchange": "AB"[i % 2], "event_ts": start + dt.timedelta(
+        seconds=i * 37 % 3000), "source_msg_hash": f"{i * 7919 % 65521:064x}"} for i in range(3000)])
+    first, second = str(tmp_path / "first"), tmp_path / "second"
+    P.write_silver(rows, first, "trades", compression="gzip", row_group_rows=100)
+    monkeypatch.setattr(P, "DEALT_BYTES", "4k")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    P.write_silver(read_silver(spark, first, "trades"), str(second), "trades", compression="zstd", dealt=True)
+    assert spark.conf.get(key) == before
+    files = list(second.glob("trades/*/*/*/*/*/*/*.parquet"))
+    assert len(files) > 4
+    seqs = []
+    for path in files:
+        stored = pq.read_table(path, partitioning=None)
+        times = stored["event_ts"].to_pylist()
+        assert times == sorted(times)
+        seqs += stored["seq"].to_pylist()
+    assert sorted(seqs) == list(range(3000))
+
+
+def test_a_write_leaves_no_shuffled_rows(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    P.write_silver(trades(spark, *[{"seq": i, "exchange": "AB"[i % 2]} for i in range(100)]), str(tmp_path), "trades")
+    for _ in range(100):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert read_silver(spark, str(tmp_path), "trades").count() == 100
+
+
+def test_what_repeats_travels_first(spark):
+    rows = trades(spark, {"seq": 1}).withColumn("bronze_sha256", F.lit("0a"))
+    order = P.moved_order(rows)
+    assert sorted(order) == sorted(rows.columns) and order[0] == "publication_ts"
+    place = {c: i for i, c in enumerate(order)}
+    assert place["schema_version"] < place["source_msg_hash"] < place["isin"] < place["trade_flags_raw"]
+    assert place["trade_flags_raw"] < place["event_ts"] < place["trade_price"]
+    laid = P.silver_layout(rows, "one-pass").select("seq", "p_pass")  # few columns, or the plan's text is cut
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    # The pass is made behind the sort, and in its keys; no sorted row holds it.
+    assert plan.count("AS p_pass") == 1 and plan.index("AS p_pass") < plan.index("Sort [")
+
+
 def test_pruning_reaches_the_scan(spark, tmp_path):
     P.write_silver(trades(spark, {"seq": 1}, {"seq": 2, "exchange": "B"}), str(tmp_path), "trades")
     df = read_silver(spark, str(tmp_path), "trades").where(
