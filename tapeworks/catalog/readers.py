@@ -124,7 +124,8 @@ def file_codecs(spark, sf_dir):
     rows, parts = X.trade_rows(spark, sf_dir), []
     for codec in ("gzip", "snappy", "zstd"):
         folder = workspace(spark, f"codec-{codec}")
-        P.write_silver(rows, folder, "trades", compression=codec, row_group_rows=5_000, dealt=bool(parts))
+        P.write_silver(rows, folder, "trades", compression=codec, row_group_rows=5_000, dealt=bool(parts),
+                       file_bytes=P.PASS_BYTES)
         if not parts:
             rows = read_silver(spark, folder, "trades")
         name = F.regexp_extract(F.col("_metadata.file_name"), r"([a-z]+)\.parquet$", 1)

@@ -19,6 +19,8 @@ PARTITION_COLUMNS = (*DIRECTORY_COLUMNS, "p_pass")
 # Shuffled bytes behind one file, which one task reads and sorts; Spark's default would make
 # files too small.  A full file has to be larger than what compaction calls small.
 FILE_BYTES = "192m"
+# The same for files that are written again later, so that even wide rows are sorted in memory.
+PASS_BYTES = "96m"
 # Bytes of files that one task reads and sorts when rows are written again; sorted rows take
 # about ten times their bytes in a file, and what doesn't fit a task's memory is spilled.
 DEALT_BYTES = "48m"
@@ -160,20 +162,21 @@ def parquet_writer(df: DataFrame, *, compression: str = "snappy",
 def write_silver(df: DataFrame, root: str, table: str, *, compression: str = "snappy",
                  row_group_rows: int = ROW_GROUP_ROWS, lineage: bool = False,
                  pass_id: str | None = None, ranges: int | None = None,
-                 dealt: bool = False) -> str:
+                 dealt: bool = False, file_bytes: str = FILE_BYTES) -> str:
     """Append rows of one table; returns the id its files carry in their path.
 
     A write that is repeated under the id of an earlier one replaces its files.
     With ``lineage`` the payload digest column ``bronze_sha256`` is stored behind
     the table's own columns; readers of the pinned schema never see it.  ``ranges``
     clusters large directories by time (see ``lay_out``).  Rows that come from files of
-    this layout are ``dealt``: they are written again without being moved.
+    this layout are ``dealt``: they are written again without being moved.  A task sorts
+    ``file_bytes`` of shuffled rows, five times that in memory.
     """
     names = [f.name for f in SCHEMAS[table].fields] + (["bronze_sha256"] if lineage else [])
     pass_id = pass_id or uuid.uuid4().hex
     laid = silver_layout(df.select(*names), pass_id, ranges, dealt)
     with settings(df.sparkSession, {
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": file_bytes,
             **({"spark.sql.files.maxPartitionBytes": DEALT_BYTES} if dealt else {}), **SHUFFLED_ONCE}):
         (parquet_writer(laid, compression=compression, row_group_rows=row_group_rows)
          .partitionBy(*PARTITION_COLUMNS).parquet(f"{root}/{table}"))

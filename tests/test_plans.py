@@ -226,6 +226,16 @@ def test_what_repeats_travels_first(spark):
     assert plan.count("AS p_pass") == 1 and plan.index("AS p_pass") < plan.index("Sort [")
 
 
+def test_the_size_behind_a_file_is_asked_for(spark, tmp_path):
+    rows = trades(spark, *[{"seq": i, "source_msg_hash": f"{i * 7919 % 65521:064x}"} for i in range(2000)])
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    P.write_silver(rows.repartition(8), str(tmp_path), "trades", file_bytes="5k")
+    assert spark.conf.get(key) == before
+    files = list(tmp_path.glob("trades/*/*/*/*/*/*/*.parquet"))
+    assert len(files) >= 3 and read_silver(spark, str(tmp_path), "trades").count() == 2000
+
+
 def test_pruning_reaches_the_scan(spark, tmp_path):
     P.write_silver(trades(spark, {"seq": 1}, {"seq": 2, "exchange": "B"}), str(tmp_path), "trades")
     df = read_silver(spark, str(tmp_path), "trades").where(
