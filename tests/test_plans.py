@@ -226,6 +226,15 @@ def test_what_repeats_travels_first(spark):
     assert plan.count("AS p_pass") == 1 and plan.index("AS p_pass") < plan.index("Sort [")
 
 
+def test_a_pass_sorts_less_at_once(spark, tmp_path, monkeypatch):
+    """Rows of a pass are wide; what one task reads has to fit its memory once it is sorted."""
+    asked = []
+    monkeypatch.setattr(I, "write_silver", lambda *a, **options: asked.append(options["file_bytes"]))
+    I.parquet_sink(str(tmp_path))({"trades": trades(spark, {"seq": 1})}, "p")
+    I.parquet_sink(str(tmp_path), file_bytes="7m")({"trades": trades(spark, {"seq": 1})}, "p")
+    assert asked == [P.PASS_BYTES, "7m"] and int(P.PASS_BYTES[:-1]) * 2 <= int(P.FILE_BYTES[:-1])
+
+
 def test_the_size_behind_a_file_is_asked_for(spark, tmp_path):
     rows = trades(spark, *[{"seq": i, "source_msg_hash": f"{i * 7919 % 65521:064x}"} for i in range(2000)])
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"

@@ -1,7 +1,10 @@
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tapeworks.catalog import QUERIES
+from tapeworks.fixtures import ingest_files
 from tapeworks.plans.ingest import parquet_sink
 from tapeworks.session import configure
 from tapeworks.sources.silver import read_silver
@@ -37,6 +40,23 @@ def test_files_are_ingested_once_as_they_arrive(spark, tmp_path):
         ("A", "a.csv", 1), ("B", "b.csv", 1), ("C", "c.csv", 1), ("D", "c.csv", 2)]
 
 
+def test_payloads_are_moved_without_their_digests(spark):
+    plan = ingest_files(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "sha2(" in plan[:plan.index("Exchange ")] and "sha2(" not in plan[plan.index("Exchange "):]
+
+
+def test_what_a_stream_stages_codes_single_bytes(spark):
+    """Digests of files are most of what is staged: under snappy they kept their hexadecimal size."""
+    base = Path(spark.conf.get("spark.checkpoint.dir")) / "tapeworks"
+    before = set(base.glob("*"))
+    QUERIES["q_stream_ingest"](spark, "/root/testdata/sf0.001")
+    new = sorted(set(base.glob("*")) - before)
+    for pattern in ("ingest-*/staged", "stream-ingest-*/incoming", "stream-ingest-*/outcomes"):
+        files = [f.name for folder in new for f in folder.parent.glob(f"{folder.name}/**/*.parquet")
+                 if f.parent.match(pattern) or f.parent.parent.match(pattern)]
+        assert files and all(name.endswith(".zstd.parquet") for name in files), pattern
+
+
 def test_dedupe_across_batches(spark, tmp_path):
     rows = [("h1", dt.datetime(2025, 8, 1, 9)), ("h1", dt.datetime(2025, 8, 1, 9)),
             ("h2", dt.datetime(2025, 8, 1, 9, 1))]
